@@ -50,3 +50,25 @@ def group_row_number(df: DataFrame, group: str | Column, order: list, out: str =
     res = res.withColumn(out, (F.col("_before") + F.col("_loc") - F.col("_first") + 1).cast("bigint"))
     drop = ["_g", "_mid", "_pid", "_loc", "_before", "_first"] + [f"_o{i}" for i in range(len(order_cols))]
     return res.drop(*drop)
+
+
+def cumulative_sums(df: DataFrame, order: list, sum_cols: list[str], descending: bool = False,
+                    partitions: int | None = None) -> DataFrame:
+    """Running totals of ``sum_cols`` in a global order, without a window over
+    one partition: range-partition on the order, total each partition (a
+    table of ``partitions`` rows), offset every partition by the totals of
+    the partitions before it, and run the window inside each partition."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    okeys = [(F.col(o) if isinstance(o, str) else o) for o in order]
+    okeys = [o.desc() if descending else o.asc() for o in okeys]
+    ranged = df.repartitionByRange(n, *okeys).withColumn("_pid", F.spark_partition_id())
+    fixed = cut_lineage(ranged)
+    totals = fixed.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
+    w_prev = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(w_prev), F.lit(0)).alias(f"_off_{c}")
+                                      for c in sum_cols])
+    w_in = Window.partitionBy("_pid").orderBy(*okeys).rowsBetween(Window.unboundedPreceding, 0)
+    out = fixed.join(F.broadcast(offsets), "_pid")  # one row per partition: bounded
+    out = out.withColumns({f"cum_{c}": F.sum(c).over(w_in) + F.col(f"_off_{c}") for c in sum_cols})
+    return out.drop("_pid", *[f"_off_{c}" for c in sum_cols])
