@@ -34,7 +34,7 @@ def register(key: str, section: str, sql: str | None = None):
 def _load_all() -> None:
     # Importing the plan modules fills the registry.
     from wellspark.plans import (  # noqa: F401
-        q_clean, q_ml, q_profile, q_retrieval, q_sources, q_stream, q_text)
+        q_clean, q_ml, q_models, q_profile, q_retrieval, q_sources, q_stream, q_text)
 
 
 def all_queries() -> dict[str, Query]:
