@@ -28,3 +28,56 @@ def split_valid(df: DataFrame, rules: dict[str, Column]):
     checked = validate(df, rules)
     return (checked.where("is_valid").drop("is_valid", "reject_reason"),
             checked.where(~F.col("is_valid")))
+
+
+# Persona descriptions attached to cluster ids (our own
+# wording), and the default for an unknown cluster.
+PERSONAS = [
+    (0, "Balanced user", "moderate daily use", "regular sleep, few notifications", "low"),
+    (1, "Notification driven", "frequent checks", "many notifications, short sessions", "medium"),
+    (2, "Late-night scroller", "long evening sessions", "use after midnight, less sleep", "high"),
+    (3, "Active minimalist", "little screen time", "much offline activity", "low"),
+    (4, "Heavy multi-platform user", "many platforms", "long sessions on several apps", "high"),
+]
+UNKNOWN_PERSONA = ("Unknown profile", "not described", "not described", "unknown")
+
+
+def persona_table(spark):
+    return spark.createDataFrame(PERSONAS, "cluster int, nombre string, perfil string, patron string, impacto string")
+
+
+def join_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str = "cluster") -> DataFrame:
+    """Attach the descriptive fields of a small lookup table (broadcast: it
+    has one row per cluster id); unknown ids get the default texts."""
+    cols = [c for c in lookup.columns if c != lookup_key]
+    j = df.join(F.broadcast(lookup.withColumnRenamed(lookup_key, "_k")), F.col(key) == F.col("_k"), "left")
+    return j.withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in zip(cols, UNKNOWN_PERSONA)}).drop("_k")
+
+
+def score_classes(model, df: DataFrame, labels: list[str], key: str) -> DataFrame:
+    """Predicted class name and a class -> probability map (rounded 4)."""
+    from pyspark.ml.functions import vector_to_array
+    out = model.transform(df)
+    names = F.array(*[F.lit(x) for x in labels])
+    probs = F.map_from_arrays(names, F.transform(vector_to_array("probability"), lambda p: F.round(p, 4)))
+    return out.select(key, F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted"),
+                      probs.alias("probs"))
+
+
+def centre_distances(vec: "F.Column", centres) -> "F.Column":
+    """Euclidean distance to each (bounded, broadcast-as-literal) centre."""
+    dists = []
+    for c in centres:
+        lit = F.array(*[F.lit(float(x)) for x in c])
+        sq = F.aggregate(F.zip_with(vec, lit, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+        dists.append(F.round(F.sqrt(sq), 4))
+    return F.array(*dists)
+
+
+def score_clusters(model, df: DataFrame, key: str, features: str = "features") -> DataFrame:
+    """Cluster id, persona and the distance to every centre."""
+    from pyspark.ml.functions import vector_to_array
+    out = model.transform(df).withColumn("_v", vector_to_array(features))
+    out = out.select(key, F.col("prediction").alias("cluster"),
+                     centre_distances(F.col("_v"), model.clusterCenters()).alias("distances"))
+    return join_lookup(out, "cluster", persona_table(df.sparkSession))

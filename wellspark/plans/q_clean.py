@@ -209,6 +209,25 @@ def q_decode_label(spark, sf):
     return decode_label(ev, "code", _NAMES, out="label_name").select("event_id", "label_name")
 
 
+def _persona_sql():
+    from wellspark.operators.score import PERSONAS, UNKNOWN_PERSONA
+    vals = ", ".join("(" + ", ".join([str(r[0])] + ["'" + x.replace("'", "''") + "'" for x in r[1:]]) + ")"
+                     for r in PERSONAS)
+    d = ["'" + x + "'" for x in UNKNOWN_PERSONA]
+    return f"""
+SELECT e.event_id, e.cluster, coalesce(p.nombre, {d[0]}) AS nombre, coalesce(p.perfil, {d[1]}) AS perfil,
+  coalesce(p.patron, {d[2]}) AS patron, coalesce(p.impacto, {d[3]}) AS impacto
+FROM (SELECT event_id, CAST(user_id % 7 AS INTEGER) AS cluster FROM events) e
+LEFT JOIN (VALUES {vals}) p(cluster, nombre, perfil, patron, impacto) ON e.cluster = p.cluster"""
+
+
+@register("join_lookup", S, _persona_sql())
+def q_join_lookup(spark, sf):
+    from wellspark.operators.score import join_lookup, persona_table
+    ev = table(spark, sf, "events").select("event_id", (F.col("user_id") % 7).cast("int").alias("cluster"))
+    return join_lookup(ev, "cluster", persona_table(spark))
+
+
 # --------------------------------------------------------------- scalar cleaning
 
 @register("std_text", S, f"""

@@ -1 +1,318 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: model fitting (2.13), search (2.14), scoring jobs
+(2.16) and the MLlib-backed projections/encoders.  Model outputs differ from
+the reference's libraries by construction, so these are rows-only checks;
+``tests/`` holds their property tests."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import (MulticlassClassificationEvaluator,
+                                   RegressionEvaluator)
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression
+from pyspark.sql import functions as F
+
+from wellspark.operators import evaluate as EV
+from wellspark.operators import models as M
+from wellspark.operators import tune as TU
+from wellspark.operators.encode import assemble_vector
+from wellspark.operators.split import stratified_folds
+from wellspark.plans.fixtures import split_col
+from wellspark.plans.registry import register
+from wellspark.sources.tables import table
+
+S = "models"
+
+
+# ----------------------------------------------------------- feature frames
+
+def emb_frame(spark, sf):
+    """64-dim embeddings with a 10-class label."""
+    e = table(spark, sf, "embeddings")
+    return e.select("vec_id", array_to_vector("embedding").alias("features"),
+                    F.col("label").cast("double").alias("label"), split_col("vec_id").alias("split"))
+
+
+_REG_COLS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+def reg_frame(spark, sf):
+    li = table(spark, sf, "lineitem")
+    f = li.select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(f"x_{c}") for c in _REG_COLS],
+                  F.col("l_extendedprice").alias("label"), split_col("l_orderkey").alias("split"))
+    return assemble_vector(f, [f"x_{c}" for c in _REG_COLS])
+
+
+def status_frame(spark, sf):
+    """orders: 3-class status from price and date parts."""
+    o = table(spark, sf, "orders")
+    f = o.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
+                 F.year("o_orderdate").cast("double").alias("year"),
+                 F.month("o_orderdate").cast("double").alias("month"), split_col("o_orderkey").alias("split"))
+    f = StringIndexer(inputCol="o_orderstatus", outputCol="label", stringOrderType="alphabetAsc").fit(
+        f.where("split = 'train'")).transform(f)
+    return assemble_vector(f, ["o_totalprice", "year", "month"])
+
+
+def toxic_frame(spark, sf):
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
+    words = F.size(F.split(F.col("text"), r"\s+"))
+    f = d.select("doc_id", F.col("n_chars").cast("double").alias("n_chars"), words.cast("double").alias("n_words"),
+                 (F.col("lang") == "en").cast("double").alias("is_en"), F.col("quality").cast("double").alias("quality"),
+                 F.col("toxic").cast("double").alias("label"), split_col("doc_id").alias("split"))
+    return assemble_vector(f, ["n_chars", "n_words", "is_en", "quality"])
+
+
+def _split(df):
+    return df.where("split = 'train'"), df.where("split = 'test'")
+
+
+def _cls_metrics(pred):
+    m = EV.classification_metrics(pred, "label", "prediction")
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+
+
+def _reg_metrics(pred):
+    m = EV.regression_metrics(pred, "label", "prediction")
+    return m.select(*[F.round(c, 6).alias(c) for c in ["rmse", "mae", "r2"]], "n")
+
+
+# ------------------------------------------------------------------ fitting
+
+@register("fit_logreg", S)
+def q_fit_logreg(spark, sf):
+    train, test = _split(emb_frame(spark, sf))
+    model = M.fit_logreg(train, C=1.0, max_iter=5000, balanced=True)
+    return _cls_metrics(model.transform(test))
+
+
+@register("fit_gbt_regressor", S)
+def q_fit_gbt_regressor(spark, sf):
+    train, test = _split(reg_frame(spark, sf))
+    model = M.fit_gbt_regressor(train, max_iter=20, step=0.1, depth=5)
+    return _reg_metrics(model.transform(test))
+
+
+@register("fit_gbt_classifier", S)
+def q_fit_gbt_classifier(spark, sf):
+    train, test = _split(status_frame(spark, sf))
+    model = M.fit_gbt_classifier(train, n_classes=3, max_iter=10, depth=4)
+    return _cls_metrics(model.transform(test))
+
+
+@register("fit_gbt_imbalanced", S)
+def q_fit_gbt_imbalanced(spark, sf):
+    train, test = _split(toxic_frame(spark, sf))
+    model = M.fit_gbt_imbalanced(train, pos_weight=100.0, subsample=0.8, colsample="0.8", max_iter=20, depth=4)
+    pred = model.transform(test)
+    return EV.fbeta(pred, 2.0, "label", "prediction", 1.0).select(F.round("f2", 6).alias("f2"))
+
+
+@register("fit_random_forest", S)
+def q_fit_random_forest(spark, sf):
+    train, test = _split(emb_frame(spark, sf))
+    model = M.fit_random_forest(train, trees=300, depth=12, min_split=5)
+    return _cls_metrics(model.transform(test))
+
+
+@register("fit_decision_tree", S)
+def q_fit_decision_tree(spark, sf):
+    train, test = _split(emb_frame(spark, sf))
+    model = M.fit_decision_tree(train, depth=8)
+    pred = model.transform(test)
+    return _cls_metrics(pred)
+
+
+@register("rank_importance", S)
+def q_rank_importance(spark, sf):
+    train, _test = _split(status_frame(spark, sf))
+    model = M.fit_decision_tree(train, depth=8)
+    imp = M.importances(model, ["o_totalprice", "year", "month"])
+    df = spark.createDataFrame(imp, "feature string, importance double")
+    return df.where("importance > 0").orderBy(F.desc("importance"), "feature").limit(10)
+
+
+@register("fit_mlp_classifier", S)
+def q_fit_mlp_classifier(spark, sf):
+    train, test = _split(emb_frame(spark, sf))
+    model = M.fit_mlp(train, [64, 41, 119, 65, 97, 65, 10], max_iter=100)
+    return _cls_metrics(model.transform(test))
+
+
+@register("fit_kmeans", S)
+def q_fit_kmeans(spark, sf):
+    e = emb_frame(spark, sf).cache()
+    model = M.fit_kmeans(e, k=5, starts=10, seed=46)
+    sizes = model.transform(e).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.withColumn("cost", F.lit(float(model.summary.trainingCost)))
+
+
+@register("add_prediction_columns", S)
+def q_add_prediction_columns(spark, sf):
+    e = emb_frame(spark, sf)
+    model = M.fit_kmeans(e, k=5, starts=2, seed=46)
+    return model.transform(e).select("vec_id", F.col("prediction").alias("cluster"), "label")
+
+
+@register("kmeans_elbow", S)
+def q_kmeans_elbow(spark, sf):
+    e = table(spark, sf, "embeddings").select(
+        F.transform("embedding", lambda x: x.cast("double")).alias("arr"))
+    e = e.withColumn("features", array_to_vector("arr")).cache()
+    return M.kmeans_elbow(e, range(1, 50), starts=1)
+
+
+@register("fit_kernel_regression", S)
+def q_fit_kernel_regression(spark, sf):
+    f = reg_frame(spark, sf).drop("features")
+    f = M.rff_features(f, [f"x_{c}" for c in _REG_COLS], n_features=100, gamma=0.01)
+    train, test = _split(f)
+    model = M.fit_kernel_regression(train)
+    return _reg_metrics(model.transform(test))
+
+
+# ------------------------------------------------------------------- search
+
+@register("grid_search", S)
+def q_grid_search(spark, sf):
+    e = emb_frame(spark, sf)
+    train, _test = _split(e)
+    train = stratified_folds(train, "vec_id", "label", 5, 46).withColumn("fold", F.col("fold"))
+    lr = LogisticRegression(maxIter=50, family="multinomial")
+    ev = MulticlassClassificationEvaluator(metricName="f1")
+    _model, res = TU.grid_search(lr, {lr.regParam: [0.001, 0.01, 0.1], lr.elasticNetParam: [0.0, 0.5]},
+                                 ev, train, fold_col="fold", parallelism=4)
+    return res
+
+
+@register("cross_val_depth", S)
+def q_cross_val_depth(spark, sf):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    train, _test = _split(emb_frame(spark, sf))
+    train = stratified_folds(train, "vec_id", "label", 5, 46)
+    dt = DecisionTreeClassifier(seed=46)
+    _m, res = TU.grid_search(dt, {dt.maxDepth: list(range(2, 10))}, EV.FBetaEvaluator(metric="macroF1"),
+                             train, fold_col="fold", parallelism=4)
+    return res
+
+
+@register("random_search", S)
+def q_random_search(spark, sf):
+    train, _test = _split(emb_frame(spark, sf))
+    lr = LogisticRegression(family="multinomial")
+    space = {lr.regParam: lambda r: 10 ** r.uniform(-4, 0), lr.elasticNetParam: [0.0, 0.25, 0.5],
+             lr.maxIter: [50, 100, 200]}
+    _m, res = TU.random_search(lr, space, MulticlassClassificationEvaluator(metricName="f1"), train,
+                               trials=10, seed=42, parallelism=4)
+    return res
+
+
+@register("split_validation", S)
+def q_split_validation(spark, sf):
+    train, _test = _split(reg_frame(spark, sf))
+    lr = LinearRegression()
+    space = {lr.regParam: [0.0, 0.1, 1.0]}
+    _m, res = TU.random_search(lr, space, RegressionEvaluator(metricName="rmse"), train, trials=3,
+                               train_ratio=0.8, seed=42)
+    return res
+
+
+# ------------------------------------------------------- MLlib projections
+
+@register("assemble_vector", S)
+def q_assemble_vector(spark, sf):
+    f = reg_frame(spark, sf)
+    return f.select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
+
+
+@register("column_stages", S)
+def q_column_stages(spark, sf):
+    """Different transforms per column group chained with the model."""
+    f = status_frame(spark, sf).drop("features")
+    train, test = _split(f)
+    pipe = Pipeline(stages=[
+        StringIndexer(inputCol="o_orderpriority", outputCol="prio_idx", handleInvalid="keep"),
+        OneHotEncoder(inputCol="prio_idx", outputCol="prio_vec", dropLast=False, handleInvalid="keep"),
+        VectorAssembler(inputCols=["prio_vec", "o_totalprice", "year", "month"], outputCol="features"),
+        LogisticRegression(maxIter=100, family="multinomial"),
+    ])
+    return _cls_metrics(pipe.fit(train).transform(test))
+
+
+# ------------------------------------------------------------------ scoring
+
+@register("score_class_mwb", S)
+def q_score_class_mwb(spark, sf):
+    from wellspark.operators.score import score_classes
+    train, test = _split(emb_frame(spark, sf))
+    model = M.fit_logreg(train, C=1.0, max_iter=500)
+    labels = [str(i) for i in range(10)]
+    return score_classes(model, test, labels, "vec_id")
+
+
+@register("score_value_mwb", S)
+def q_score_value_mwb(spark, sf):
+    train, test = _split(reg_frame(spark, sf))
+    model = M.fit_gbt_regressor(train, max_iter=10, depth=4)
+    return model.transform(test).select("l_orderkey", "l_linenumber", F.round("prediction", 2).alias("score"))
+
+
+def _two_model_job(spark, sf, key, frame, score_col):
+    """Class and score of the same rows: the two fitted models are applied
+    one after the other (no join back, so duplicate keys stay intact)."""
+    from pyspark.ml.functions import vector_to_array
+    train, test = _split(frame)
+    clf = LogisticRegression(maxIter=200, family="multinomial").fit(train)
+    reg = LinearRegression(labelCol=score_col, maxIter=100, predictionCol="score_raw").fit(train)
+    labels = [str(x) for x in sorted({r[0] for r in train.select("label").distinct().collect()})]
+    names = F.array(*[F.lit(x) for x in labels])
+    both = reg.transform(clf.transform(test))
+    return both.select(key, F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted"),
+                       F.map_from_arrays(names, F.transform(vector_to_array("probability"),
+                                                            lambda p: F.round(p, 4))).alias("probs"),
+                       F.round("score_raw", 2).alias("score"))
+
+
+@register("score_gad7", S)
+def q_score_gad7(spark, sf):
+    return _two_model_job(spark, sf, "o_orderkey", status_frame(spark, sf), "o_totalprice")
+
+
+@register("score_phq9", S)
+def q_score_phq9(spark, sf):
+    f = reg_frame(spark, sf).withColumn("key", F.struct("l_orderkey", "l_linenumber")) \
+        .withColumnRenamed("label", "price")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    f = f.join(li, ["l_orderkey", "l_linenumber"])
+    f = StringIndexer(inputCol="l_returnflag", outputCol="label", stringOrderType="alphabetAsc").fit(f).transform(f)
+    out = _two_model_job(spark, sf, "key", f, "price")
+    return out.select("key.l_orderkey", "key.l_linenumber", "predicted", "probs", "score")
+
+
+@register("score_cluster", S)
+def q_score_cluster(spark, sf):
+    from wellspark.operators.score import score_clusters
+    e = emb_frame(spark, sf)
+    model = M.fit_kmeans(e, k=5, starts=2, seed=46)
+    return score_clusters(model, e, "vec_id")
+
+
+@register("score_text", S)
+def q_score_text(spark, sf):
+    from wellspark.functions.text import clean_text, word_tokens
+    from wellspark.operators.score import score_classes
+    from wellspark.operators.textfeat import count_vectorize
+    d = table(spark, sf, "documents").select("doc_id", "lang", "text", split_col("doc_id").alias("split"))
+    d = d.withColumn("text_clean", clean_text(F.col("text")))
+    vec, _vocab = count_vectorize(d.where("split = 'train'"), word_tokens(F.col("text_clean")), 2000, (1, 1))
+    idx = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(vec)
+    model = LogisticRegression(maxIter=100, family="multinomial").fit(idx.transform(vec))
+    # score the test rows with the TRAIN vocabulary
+    from pyspark.ml.feature import CountVectorizerModel
+    terms = [r.term for r in _vocab.orderBy("index").collect()]
+    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="_tok", outputCol="features")
+    test = cv.transform(d.where("split = 'test'").withColumn("_tok", word_tokens(F.col("text_clean"))))
+    out = score_classes(model, test, list(idx.labels), "doc_id")
+    return out.join(d.select("doc_id", "text_clean"), "doc_id")
