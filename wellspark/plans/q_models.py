@@ -282,11 +282,13 @@ def q_score_gad7(spark, sf):
 
 @register("score_phq9", S)
 def q_score_phq9(spark, sf):
-    f = reg_frame(spark, sf).withColumn("key", F.struct("l_orderkey", "l_linenumber")) \
-        .withColumnRenamed("label", "price")
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    f = f.join(li, ["l_orderkey", "l_linenumber"])
-    f = StringIndexer(inputCol="l_returnflag", outputCol="label", stringOrderType="alphabetAsc").fit(f).transform(f)
+    li = table(spark, sf, "lineitem")
+    f = li.select("l_orderkey", "l_linenumber", "l_returnflag",
+                  *[F.col(c).cast("double").alias(f"x_{c}") for c in _REG_COLS],
+                  F.col("l_extendedprice").alias("price"), split_col("l_orderkey").alias("split"))
+    f = assemble_vector(f, [f"x_{c}" for c in _REG_COLS])
+    f = StringIndexer(inputCol="l_returnflag", outputCol="label", stringOrderType="alphabetAsc").fit(
+        f.where("split = 'train'")).transform(f).withColumn("key", F.struct("l_orderkey", "l_linenumber"))
     out = _two_model_job(spark, sf, "key", f, "price")
     return out.select("key.l_orderkey", "key.l_linenumber", "predicted", "probs", "score")
 
