@@ -28,3 +28,120 @@ def prompt_format(df: DataFrame, text_col: str, label_col: str, cats: str) -> Da
     prompt = F.concat(F.lit(USER_TAG + "\n"), msgs[0]["content"], F.lit("\n" + ASSISTANT_TAG + "\n"),
                       msgs[1]["content"])
     return df.withColumn("messages", F.to_json(msgs)).withColumn("prompt", prompt)
+
+
+# ------------------------------------------------------------------ chunks
+
+def chunk_stride(df: DataFrame, id_col: str, text_col: str, size: int = 500, overlap: int = 50) -> DataFrame:
+    """Pieces of ``size`` characters starting every ``size - overlap``
+    characters; one row per piece with (id, pos, chunk).  Whole texts, no
+    prefix: the last piece ends at the end of the text."""
+    step = size - overlap
+    n = F.length(F.col(text_col))
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    return (df.select(id_col, text_col, F.explode(starts).alias("pos"))
+            .select(id_col, "pos", F.substring(F.col(text_col), F.col("pos") + 1, size).alias("chunk")))
+
+
+def chunk_recursive_pdf(text: str, size: int = 500, overlap: int = 50,
+                        separators=("\n\n", "\n", " ", "")) -> list[str]:
+    """Separator cascade: split on the first separator present, merge the
+    pieces greedily up to ``size`` characters with ``overlap`` carried over,
+    and split pieces still too long with the next separator."""
+    def split(t: str, seps) -> list[str]:
+        if len(t) <= size:
+            return [t] if t.strip() else []
+        sep = next((s for s in seps if s == "" or s in t), "")
+        rest = seps[seps.index(sep) + 1:] if sep in seps else ()
+        parts = list(t) if sep == "" else t.split(sep)
+        out, cur = [], ""
+        for p in parts:
+            cand = p if not cur else cur + sep + p
+            if len(cand) <= size:
+                cur = cand
+                continue
+            if cur:
+                out.append(cur)
+                tail = cur[-overlap:] if overlap else ""
+                cur = tail + sep + p if tail and len(tail) + len(sep) + len(p) <= size else p
+            else:
+                cur = p
+            if len(cur) > size:
+                out.extend(split(cur, rest or ("",)))
+                cur = ""
+        if cur.strip():
+            out.append(cur)
+        return out
+    return split(text or "", tuple(separators))
+
+
+def chunk_recursive(df: DataFrame, id_col: str, text_col: str, size: int = 500, overlap: int = 50) -> DataFrame:
+    """The separator cascade per document, in Arrow batches (a flat map)."""
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            ids, poss, chunks = [], [], []
+            for i, t in zip(pdf[id_col], pdf[text_col]):
+                for j, c in enumerate(chunk_recursive_pdf(t, size, overlap)):
+                    ids.append(i)
+                    poss.append(j)
+                    chunks.append(c)
+            yield pd.DataFrame({id_col: ids, "pos": poss, "chunk": chunks})
+    id_type = df.schema[id_col].dataType.simpleString()
+    return df.select(id_col, text_col).mapInPandas(run, f"{id_col} {id_type}, pos int, chunk string")
+
+
+# --------------------------------------------------------------- vectors
+
+def hashed_vectors(df: DataFrame, id_col: str, tokens: Column, dims: int = 64) -> DataFrame:
+    """L2-normalised term-count vectors over ``dims`` md5 buckets of the
+    tokens (rows without tokens are dropped).  One group per row id."""
+    from wellspark.functions.columns import md5_bucket
+    toks = df.select(F.col(id_col).alias("_id"), F.explode(tokens).alias("tok"))
+    counts = toks.groupBy("_id", md5_bucket(F.col("tok"), dims).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    per = counts.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("b", "c"))).alias("m"))
+    arr = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
+                      lambda i: F.coalesce(F.col("m")[i.cast("bigint")], F.lit(0)).cast("double"))
+    v = per.select(F.col("_id").alias(id_col), arr.alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    return v.select(id_col, F.transform("v", lambda x: x / norm).alias("vec"))
+
+
+# -------------------------------------------------------------------- BM25
+
+def bm25_rerank(candidates: DataFrame, questions: DataFrame, chunks: DataFrame, q_tokens: Column,
+                c_tokens: Column, top: int = 3, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+    """Lexical score of (question, chunk) candidate pairs, best ``top`` per
+    question.  Corpus statistics (document frequency, average length) come
+    from the whole chunk table; only candidate pairs are scored, so the work
+    is bounded by candidates x terms, not questions x chunks."""
+    ct = chunks.select("chunk_id", c_tokens.alias("toks"))
+    n_chunks = F.lit(ct.count())
+    lens = ct.select("chunk_id", F.size("toks").alias("dl"))
+    avgdl = lens.agg(F.avg("dl")).scalar()
+    terms = ct.select("chunk_id", F.explode("toks").alias("term"))
+    tf = terms.groupBy("chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    qt = questions.select("qid", F.explode(F.array_distinct(q_tokens)).alias("term"))
+    pairs = candidates.select("qid", "chunk_id").join(qt, "qid").join(tf, ["chunk_id", "term"]) \
+        .join(dfreq, "term").join(lens, "chunk_id")
+    idf = F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    w = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))
+    # rounded so that equal chunks (copies) tie exactly whatever the sum order
+    scores = pairs.groupBy("qid", "chunk_id").agg(F.round(F.sum(w), 9).alias("bm25"))
+    allc = candidates.select("qid", "chunk_id").join(scores, ["qid", "chunk_id"], "left") \
+        .withColumn("bm25", F.coalesce("bm25", F.lit(0.0)))
+    best = allc.groupBy("qid").agg(F.slice(F.array_sort(F.collect_list(
+        F.struct((-F.col("bm25")).alias("neg"), F.col("chunk_id")))), 1, top).alias("b"))
+    return best.select("qid", F.posexplode("b").alias("p", "s")).select(
+        "qid", (F.col("p") + 1).cast("int").alias("rank"), F.col("s.chunk_id").alias("chunk_id"),
+        (-F.col("s.neg")).alias("bm25"))
+
+
+def stuff_context(ranked: DataFrame, chunks: DataFrame, sep: str = "\n\n") -> DataFrame:
+    """One prompt context per question: its chunks in rank order joined by
+    ``sep`` (per-question groups hold ``top`` rows)."""
+    j = ranked.join(chunks.select("chunk_id", "chunk"), "chunk_id")
+    g = j.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "chunk"))).alias("r"))
+    return g.select("qid", F.array_join(F.transform("r", lambda s: s["chunk"]), sep).alias("context"))
