@@ -101,15 +101,21 @@ def fit_mlp(train: DataFrame, layers: list[int], features="features", label="lab
                                           maxIter=max_iter, seed=seed).fit(train)
 
 
-def fit_kmeans(df: DataFrame, k: int = 5, starts: int = 10, seed: int = 46, features="features"):
+def fit_kmeans(df: DataFrame, k: int = 5, starts: int = 10, seed: int = 46, features="features",
+               parallelism: int = 4):
     """Best of ``starts`` seeded runs by training cost (sklearn ``n_init``).
-    The input should be cached by the caller; each run is a distributed job."""
-    best = None
-    for s in range(starts):
-        m = KMeans(k=k, seed=seed + s, featuresCol=features).fit(df)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
-    return best
+    Runs are submitted from driver threads so several distributed fits share
+    the cluster at once; the input is cached for the duration."""
+    from concurrent.futures import ThreadPoolExecutor
+    data = df.select(features).cache()
+    try:
+        def run(s):
+            return KMeans(k=k, seed=seed + s, featuresCol=features).fit(data)
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, starts))) as pool:
+            models = list(pool.map(run, range(starts)))
+    finally:
+        data.unpersist()
+    return min(models, key=lambda m: (m.summary.trainingCost, models.index(m)))
 
 
 def total_sum_of_squares(df: DataFrame, features_array: str) -> float:

@@ -55,6 +55,7 @@ def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None
         raise ValueError("too many groups for exact order statistics; pass rel_err > 0")
     counts = {(r.g, r.column): r.n for r in stats}
     targets = {}  # tid -> dict(g, column, rank, lo, hi)
+    direct = {}   # small (group, column): fetch its sorted values at once
     result = {}
     tid = 0
     for r in stats:
@@ -63,13 +64,19 @@ def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None
             if r.lo == r.hi:
                 result[(r.g, r.column, rank)] = r.lo
                 continue
-            targets[tid] = dict(g=r.g, column=r.column, rank=rank, lo=r.lo, hi=r.hi)
+            t = dict(g=r.g, column=r.column, rank=rank, lo=r.lo, hi=r.hi)
+            if r.n <= collect_limit:
+                direct[tid] = dict(t, offset=rank)
+            else:
+                targets[tid] = t
             tid += 1
 
     schema = T.StructType([
         T.StructField("tid", T.IntegerType()), T.StructField("g", T.StringType()),
         T.StructField("column", T.StringType()), T.StructField("lo", T.DoubleType()),
         T.StructField("hi", T.DoubleType())])
+    if direct:
+        _fetch_sorted(long_df, direct, result, schema, spark)
 
     passes = 0
     while targets:

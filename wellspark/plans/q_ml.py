@@ -36,7 +36,7 @@ def _knn_sql(k: int, where: str = "a.vec_id <> b.vec_id", a_src: str = _EMB_SQL,
 SELECT qid, nid, CAST(rank AS INTEGER) AS rank, round(dist, 6) AS dist FROM {_knn_sql(5)}""")
 def q_join_nearest(spark, sf):
     e = _emb(spark, sf)
-    nn = NB.knn(e, e, 5, "vec_id", "vec_id", "vec", exclude_self=True, n_pivots=16)
+    nn = NB.knn(e, e, 5, "vec_id", "vec_id", "vec", exclude_self=True)
     return nn.select("qid", "nid", "rank", F.round("dist", 6).alias("dist"))
 
 
@@ -51,7 +51,7 @@ SELECT qid, arg_min(label, struct_pack(nv := -votes, l := label)) AS predicted F
 def q_fit_knn(spark, sf):
     e = _emb(spark, sf).withColumn("split", split_col("vec_id"))
     train, test = e.where("split = 'train'"), e.where("split = 'test'")
-    nn = NB.knn(test, train, 5, "vec_id", "vec_id", "vec", metric="manhattan", carry=["label"], n_pivots=16)
+    nn = NB.knn(test, train, 5, "vec_id", "vec_id", "vec", metric="manhattan", carry=["label"])
     return NB.knn_vote(nn, "label")
 
 
@@ -64,7 +64,7 @@ SELECT qid, nid, CAST(rank AS INTEGER) AS rank, round(1 - dist * dist / 2, 6) AS
 FROM {_knn_sql(10, 'true', _NORM_SQL, _NORM_SQL)}""")
 def q_join_vector_topk(spark, sf):
     e = table(spark, sf, "embeddings").select("vec_id", NB.normalize("embedding").alias("vec"))
-    nn = NB.knn(e, e, 10, "vec_id", "vec_id", "vec", n_pivots=16)
+    nn = NB.knn(e, e, 10, "vec_id", "vec_id", "vec")
     return nn.select("qid", "nid", "rank", F.round(1 - F.col("dist") * F.col("dist") / 2, 6).alias("cosine"))
 
 

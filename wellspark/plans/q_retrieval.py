@@ -71,7 +71,7 @@ def _ranked(spark, sf):
     q = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
     cv = RT.hashed_vectors(ch, "chunk_id", word_tokens(F.col("chunk")), DIMS)
     qv = RT.hashed_vectors(q, "qid", word_tokens(F.col("text")), DIMS)
-    top10 = NB.knn(qv, cv, 10, "qid", "chunk_id", "vec", n_pivots=32)
+    top10 = NB.knn(qv, cv, 10, "qid", "chunk_id", "vec")
     cand = top10.select("qid", F.col("nid").alias("chunk_id"))
     r = RT.bm25_rerank(cand, q, ch, word_tokens(F.col("text")), word_tokens(F.col("chunk")), top=3)
     return r, ch
