@@ -4,6 +4,8 @@ grouped aggregate, so a large corpus and many questions spread over tasks."""
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,8 +79,6 @@ def chunk_recursive_pdf(text: str, size: int = 500, overlap: int = 50,
 
 def chunk_recursive(df: DataFrame, id_col: str, text_col: str, size: int = 500, overlap: int = 50) -> DataFrame:
     """The separator cascade per document, in Arrow batches (a flat map)."""
-    import pandas as pd
-
     def run(batches):
         for pdf in batches:
             ids, poss, chunks = [], [], []
@@ -92,41 +92,53 @@ def chunk_recursive(df: DataFrame, id_col: str, text_col: str, size: int = 500,
     return df.select(id_col, text_col).mapInPandas(run, f"{id_col} {id_type}, pos int, chunk string")
 
 
-# --------------------------------------------------------------- vectors
+# --------------------------------------------------------------- postings
+
+def postings(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
+    """(id, term, tf): the term counts of every row, built once and shared by
+    the vectors and the lexical scores."""
+    return (df.select(F.col(id_col).alias("_id"), F.explode(tokens).alias("term"))
+            .groupBy("_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+            .withColumnRenamed("_id", id_col))
+
 
-def hashed_vectors(df: DataFrame, id_col: str, tokens: Column, dims: int = 64) -> DataFrame:
-    """L2-normalised term-count vectors over ``dims`` md5 buckets of the
-    tokens (rows without tokens are dropped).  One group per row id."""
+def hashed_vectors(post: DataFrame, id_col: str, dims: int = 64) -> DataFrame:
+    """L2-normalised term-count vectors over ``dims`` md5 buckets (rows
+    without tokens have no postings and get no vector).  One aggregate per
+    row id collects (bucket, count) pairs; the vector is a numpy
+    ``bincount`` per Arrow batch."""
     from wellspark.functions.columns import md5_bucket
-    toks = df.select(F.col(id_col).alias("_id"), F.explode(tokens).alias("tok"))
-    counts = toks.groupBy("_id", md5_bucket(F.col("tok"), dims).alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    per = counts.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("b", "c"))).alias("m"))
-    arr = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
-                      lambda i: F.coalesce(F.col("m")[i.cast("bigint")], F.lit(0)).cast("double"))
-    v = per.select(F.col("_id").alias(id_col), arr.alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return v.select(id_col, F.transform("v", lambda x: x / norm).alias("vec"))
+
+    @F.pandas_udf("array<double>")
+    def to_vec(bs: pd.Series, cs: pd.Series) -> pd.Series:
+        out = []
+        for b, c in zip(bs, cs):
+            v = np.bincount(np.asarray(b, dtype=np.int64), weights=np.asarray(c, dtype=np.float64),
+                            minlength=dims)
+            out.append(v / np.sqrt((v * v).sum()))
+        return pd.Series(out)
+
+    per = (post.withColumn("_b", md5_bucket(F.col("term"), dims))
+           .groupBy(id_col).agg(F.collect_list("_b").alias("bs"), F.collect_list("tf").alias("cs")))
+    return per.select(id_col, to_vec("bs", "cs").alias("vec"))
 
 
 # -------------------------------------------------------------------- BM25
 
-def bm25_rerank(candidates: DataFrame, questions: DataFrame, chunks: DataFrame, q_tokens: Column,
-                c_tokens: Column, top: int = 3, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+def bm25_rerank(candidates: DataFrame, q_post: DataFrame, c_post: DataFrame, n_chunks: int,
+                top: int = 3, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """Lexical score of (question, chunk) candidate pairs, best ``top`` per
-    question.  Corpus statistics (document frequency, average length) come
-    from the whole chunk table; only candidate pairs are scored, so the work
-    is bounded by candidates x terms, not questions x chunks."""
-    ct = chunks.select("chunk_id", c_tokens.alias("toks"))
-    n_chunks = F.lit(ct.count())
-    lens = ct.select("chunk_id", F.size("toks").alias("dl"))
-    avgdl = lens.agg(F.avg("dl")).scalar()
-    terms = ct.select("chunk_id", F.explode("toks").alias("term"))
-    tf = terms.groupBy("chunk_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    qt = questions.select("qid", F.explode(F.array_distinct(q_tokens)).alias("term"))
-    pairs = candidates.select("qid", "chunk_id").join(qt, "qid").join(tf, ["chunk_id", "term"]) \
+    question.  Corpus statistics (document frequency, average length over
+    all ``n_chunks`` chunks) come from the chunk postings; only candidate
+    pairs are scored, so the work is bounded by candidates x terms, not by
+    questions x chunks."""
+    lens = c_post.groupBy("chunk_id").agg(F.sum("tf").alias("dl"))
+    avgdl = c_post.agg(F.sum("tf")).scalar() / F.lit(n_chunks)
+    dfreq = c_post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    qt = q_post.select("qid", "term")
+    pairs = candidates.select("qid", "chunk_id").join(qt, "qid").join(c_post, ["chunk_id", "term"]) \
         .join(dfreq, "term").join(lens, "chunk_id")
-    idf = F.log(1 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(1 + (F.lit(n_chunks) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     w = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl))
     # rounded so that equal chunks (copies) tie exactly whatever the sum order
     scores = pairs.groupBy("qid", "chunk_id").agg(F.round(F.sum(w), 9).alias("bm25"))

@@ -67,13 +67,18 @@ rk AS (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY bm25 DESC,
 
 
 def _ranked(spark, sf):
+    from pyspark import StorageLevel
     ch = _chunks(spark, sf)
     q = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    cv = RT.hashed_vectors(ch, "chunk_id", word_tokens(F.col("chunk")), DIMS)
-    qv = RT.hashed_vectors(q, "qid", word_tokens(F.col("text")), DIMS)
+    # chunk postings feed the vectors and BM25: built once and persisted
+    # (a lost block is recomputed from its lineage)
+    c_post = RT.postings(ch, "chunk_id", word_tokens(F.col("chunk"))).persist(StorageLevel.MEMORY_AND_DISK)
+    q_post = RT.postings(q, "qid", word_tokens(F.col("text")))
+    cv = RT.hashed_vectors(c_post, "chunk_id", DIMS)
+    qv = RT.hashed_vectors(q_post, "qid", DIMS)
     top10 = NB.knn(qv, cv, 10, "qid", "chunk_id", "vec")
     cand = top10.select("qid", F.col("nid").alias("chunk_id"))
-    r = RT.bm25_rerank(cand, q, ch, word_tokens(F.col("text")), word_tokens(F.col("chunk")), top=3)
+    r = RT.bm25_rerank(cand, q_post, c_post, ch.count(), top=3)
     return r, ch
 
 
