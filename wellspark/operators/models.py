@@ -130,13 +130,18 @@ def total_sum_of_squares(df: DataFrame, features_array: str) -> float:
     return float(sum(row[f"q{i}"] - row[f"s{i}"] ** 2 / n for i in range(dim)))
 
 
-def kmeans_elbow(df: DataFrame, ks, features="features", features_array="arr", seed=46, starts=1):
-    rows = []
-    for k in ks:
+def kmeans_elbow(df: DataFrame, ks, features="features", features_array="arr", seed=46, starts=1,
+                 parallelism: int = 4):
+    """Inertia for every K; k = 1 in closed form (MLlib rejects k = 1).  The
+    fits are submitted from a few driver threads and share the cluster."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def cost(k):
         if k == 1:
-            rows.append((1, total_sum_of_squares(df, features_array)))
-        else:
-            rows.append((k, float(fit_kmeans(df, k, starts, seed, features).summary.trainingCost)))
+            return (1, total_sum_of_squares(df, features_array))
+        return (k, float(fit_kmeans(df, k, starts, seed, features, parallelism=1).summary.trainingCost))
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(cost, list(ks)))
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
