@@ -59,8 +59,7 @@ def compare_models(predictions: dict[str, DataFrame], base: str, label: str = "l
     parts = [macro_f1(df, label, prediction).select(F.lit(name).alias("experiment"), "macro_f1")
              for name, df in predictions.items()]
     allm = reduce(lambda a, b: a.unionByName(b), parts)
-    b = allm.where(F.col("experiment") == base).select(F.col("macro_f1").alias("_base"))
-    out = allm.join(b, how="left").select(
+    base_f1 = allm.where(F.col("experiment") == base).select("macro_f1").scalar()  # scalar subquery
+    return allm.select(
         "experiment", F.round("macro_f1", 6).alias("macro_f1"),
-        F.round((F.col("macro_f1") - F.col("_base")) / F.col("_base") * 100, 4).alias("gain_pct"))
-    return out
+        F.round((F.col("macro_f1") - base_f1) / base_f1 * 100, 4).alias("gain_pct"))
