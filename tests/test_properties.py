@@ -187,3 +187,14 @@ def test_models_learn_a_separable_fixture(spark):
     reg = models.fit_gbt_regressor(df, label="y", max_iter=20, depth=3)
     r2 = evaluate.regression_metrics(reg.transform(df), "y", "prediction").first().r2
     assert r2 > 0.9
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "a double, k string")
+    assert clean.iqr_limits(empty, 1.5) == {}
+    rep = clean.retention_report({"train": empty}, clean.iqr_predicate({})).collect()
+    assert rep == []
+    assert clean.null_audit(empty).first().a is None
+    cats = encode.fit_categories(empty, ["k"])
+    assert cats == {"k": []}
+    assert encode.one_hot(empty, cats).columns == ["a"]

@@ -37,7 +37,7 @@ def q_src_csv(spark, sf):
 @register("sink_csv_dir", S, "SELECT * FROM part")
 def q_sink_csv_dir(spark, sf):
     p = table(spark, sf, "part")
-    path = SK.write_csv_dir(p, _tmp(spark, "csvdir"), single_file=True)
+    path = SK.write_csv_dir(p, _tmp(spark, "csvdir"))  # parallel parts; single_file=True on request
     return read_csv(spark, path, p.schema)
 
 
