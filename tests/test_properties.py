@@ -198,3 +198,19 @@ def test_empty_inputs(spark):
     cats = encode.fit_categories(empty, ["k"])
     assert cats == {"k": []}
     assert encode.one_hot(empty, cats).columns == ["a"]
+
+
+@pytest.mark.parametrize("seed", [None, 42])
+def test_first_rows_per_group_hot_group(spark, seed):
+    import hashlib
+    from wellspark.operators.split import first_rows_per_group
+    pdf = pd.DataFrame({"id": np.arange(3000), "g": ["hot"] * 2000 + ["a", "b"] * 500})
+    df = spark.createDataFrame(pdf)
+    got = first_rows_per_group(df, "g", "id", lambda n: (n + 2) // 3, seed).toPandas()
+    if seed is None:
+        order = pdf.assign(o=pdf.id)
+    else:
+        order = pdf.assign(o=[hashlib.md5(f"{i}{seed}".encode()).hexdigest() for i in pdf.id])
+    want = order.sort_values(["o", "id"]).groupby("g").apply(
+        lambda x: x.head((len(x) + 2) // 3), include_groups=False).reset_index(level=0)
+    assert sorted(got.id) == sorted(want.id)

@@ -8,7 +8,7 @@ grouped count (one row per class) joined back, not from a collect.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import md5_bucket
@@ -36,16 +36,70 @@ def _class_sizes(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
 
 
+_NULL_GROUP = "\u0000<null>"
+
+
+def _order_value(key: str, seed) -> "F.Column":
+    """Numeric order key exactly representable as a double: the first 13 hex
+    digits (52 bits) of md5(key || seed), or the numeric key itself."""
+    if seed is None:
+        return F.col(key).cast("double")
+    return F.conv(F.substring(hash_order(key, seed), 1, 13), 16, 10).cast("bigint").cast("double")
+
+
+def first_rows_per_group(df: DataFrame, group: str, key: str, need_fn, seed=None) -> DataFrame:
+    """The first ``need_fn(n_group)`` rows of every group in the order
+    (md5(key || seed), key) -- or (key) without a seed -- without sorting a
+    group in one task and without writing the data.
+
+    The cut value of each group is an exact order statistic of a 52-bit
+    numeric prefix of the order (scan-only passes, see ``quantiles``); rows
+    strictly below it are kept, and only the rows tied at the cut (prefix
+    collisions: a handful) are ranked by the full order.  Per-group tables
+    have one row per group."""
+    from wellspark.operators.profile import broadcast_if_small
+    from wellspark.operators.quantiles import order_statistics
+    spark = df.sparkSession
+    g = F.coalesce(F.col(group).cast("string"), F.lit(_NULL_GROUP))
+    keyed = df.withColumn("_g", g).withColumn("_o", _order_value(key, seed))
+    counts, stats = order_statistics(keyed, ["_o"], lambda n: [max(0, min(need_fn(n), n) - 1)], group="_g")
+    cuts = []
+    for (gv, _c), n in counts.items():
+        need = min(need_fn(n), n)
+        if need > 0:
+            cuts.append((gv, float(stats[(gv, "_o", need - 1)]), int(need)))
+    if not cuts:
+        return df.limit(0)
+    cut_df = broadcast_if_small(spark.createDataFrame(cuts, "_g string, _t double, _need bigint"))
+    j = keyed.join(cut_df, "_g")
+    below = j.where(F.col("_o") < F.col("_t")).groupBy("_g").agg(F.count(F.lit(1)).alias("_below"))
+    ties = j.where(F.col("_o") == F.col("_t")).join(below, "_g", "left") \
+        .withColumn("_below", F.coalesce("_below", F.lit(0)))
+    full = [hash_order(key, seed), F.col(key)] if seed is not None else [F.col(key)]
+    w = Window.partitionBy("_g").orderBy(*full)
+    chosen = ties.withColumn("_r", F.row_number().over(w)) \
+        .where(F.col("_r") <= F.col("_need") - F.col("_below")).select("_g", F.col(key).alias("_k"))
+    keep = j.join(broadcast_if_small(chosen), (j["_g"] == chosen["_g"]) & (j[key] == chosen["_k"]), "left") \
+        .where((F.col("_o") < F.col("_t")) | F.col("_k").isNotNull())
+    return keep.select(*[j[c] for c in df.columns])
+
+
+def _ceil_frac(frac: float):
+    """n -> ceil(n * frac) in exact decimal arithmetic (as SQL decimals)."""
+    from fractions import Fraction
+    f = Fraction(str(frac))
+    return lambda n: -((-n * f.numerator) // f.denominator)
+
+
 def split_stratified(df: DataFrame, key: str, label: str, test_frac: float = 0.2,
                      seed: int = 46) -> DataFrame:
-    """Adds ``split`` ('train'/'test'): per class, the first ceil(test_frac*n)
-    rows in seeded hash order go to test.  Ranks come from
-    ``group_row_number`` (a hot class is spread over many tasks)."""
-    ranked = group_row_number(df, label, [hash_order(key, seed), F.col(key)], out="_rn")
-    ranked = ranked.join(_class_sizes(df, label), label)
-    return (ranked.withColumn("split", F.when(F.col("_rn") <= F.ceil(F.col("_n") * F.lit(test_frac)),
-                                              F.lit("test")).otherwise(F.lit("train")))
-            .drop("_rn", "_n"))
+    """Adds ``split`` ('train'/'test'): per class, the first
+    ceil(test_frac * n) rows in seeded hash order go to test."""
+    test = first_rows_per_group(df.select(key, label), label, key, _ceil_frac(test_frac), seed) \
+        .select(F.col(key).alias("_tk"), F.lit(True).alias("_is_test"))
+    out = df.join(test, df[key] == test["_tk"], "left")
+    return out.withColumn("split", F.when(F.col("_is_test"), F.lit("test")).otherwise(F.lit("train"))) \
+        .drop("_tk", "_is_test")
 
 
 def kfold(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -64,13 +118,9 @@ def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int
 def balanced_head(df: DataFrame, label: str, order_col: str, by_hash_seed=None) -> DataFrame:
     """First m rows of every class, m = size of the smallest class.  With
     ``by_hash_seed`` the order inside a class is the seeded hash (an
-    undersample) instead of source order.  m is a scalar subquery over the
-    per-class counts (one row per class)."""
-    order = [hash_order(order_col, by_hash_seed), F.col(order_col)] if by_hash_seed is not None \
-        else [F.col(order_col)]
-    m = _class_sizes(df, label).agg(F.min("_n")).scalar()
-    ranked = group_row_number(df, label, order, out="_rn")
-    return ranked.where(F.col("_rn") <= m).drop("_rn")
+    undersample) instead of source order."""
+    m = _class_sizes(df, label).agg(F.min("_n")).first()[0] or 0
+    return first_rows_per_group(df, label, order_col, lambda n: m, by_hash_seed)
 
 
 def shuffle(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

@@ -204,12 +204,9 @@ def q_union_classes(spark, sf):
     from functools import reduce
     d = table(spark, sf, "documents").select("doc_id", "lang")
     langs = [r.lang for r in d.select("lang").distinct().collect()]  # class names, bounded
-    m = d.groupBy("lang").count().agg(F.min("count")).scalar()
-    parts = []
-    for lang in sorted(langs):
-        one = d.where(F.col("lang") == lang)
-        ranked = group_row_number(one, F.lit(lang), [SP.hash_order("doc_id", 42), F.col("doc_id")], "_rn")
-        parts.append(ranked.where(F.col("_rn") <= m).drop("_rn"))
+    m = d.groupBy("lang").count().agg(F.min("count")).first()[0]
+    parts = [SP.first_rows_per_group(d.where(F.col("lang") == lang), "lang", "doc_id", lambda n: m, 42)
+             for lang in sorted(langs)]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
