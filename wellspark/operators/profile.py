@@ -9,7 +9,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wellspark.operators.quantiles import quantiles
 

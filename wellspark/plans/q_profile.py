@@ -9,7 +9,7 @@ from wellspark.operators import profile as P
 from wellspark.operators import split as SP
 from wellspark.operators.encode import ZScore
 from wellspark.operators.windows import group_row_number
-from wellspark.plans.fixtures import (SURVEY_LINEITEM_SQL, bucket_sql,
+from wellspark.plans.fixtures import (SURVEY_LINEITEM_SQL,
                                       split_col, split_sql, survey_lineitem)
 from wellspark.plans.registry import register
 from wellspark.sources.tables import table
