@@ -32,9 +32,10 @@ _MAX_TARGETS = 200_000
 
 
 def _long(df: DataFrame, cols: list[str], group: str | None) -> DataFrame:
+    """(g, column index, x) rows; the column travels as a small int."""
     gcol = F.col(group).cast("string") if group else F.lit("")
     pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols]))
+        F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)]))
     return (df.select(gcol.alias("g"), pairs.alias("p"))
             .select("g", "p.column", "p.x")
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
@@ -53,7 +54,7 @@ def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None
         F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
     if len(stats) * 4 > _MAX_TARGETS:
         raise ValueError("too many groups for exact order statistics; pass rel_err > 0")
-    counts = {(r.g, r.column): r.n for r in stats}
+    counts = {(r.g, cols[r.column]): r.n for r in stats}
     targets = {}  # tid -> dict(g, column, rank, lo, hi)
     direct = {}   # small (group, column): fetch its sorted values at once
     result = {}
@@ -62,9 +63,9 @@ def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None
         for rank in sorted(set(ranks_fn(r.n))):
             rank = min(max(rank, 0), r.n - 1)
             if r.lo == r.hi:
-                result[(r.g, r.column, rank)] = r.lo
+                result[(r.g, cols[r.column], rank)] = r.lo
                 continue
-            t = dict(g=r.g, column=r.column, rank=rank, lo=r.lo, hi=r.hi)
+            t = dict(g=r.g, column=r.column, name=cols[r.column], rank=rank, lo=r.lo, hi=r.hi)
             if r.n <= collect_limit:
                 direct[tid] = dict(t, offset=rank)
             else:
@@ -73,7 +74,7 @@ def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None
 
     schema = T.StructType([
         T.StructField("tid", T.IntegerType()), T.StructField("g", T.StringType()),
-        T.StructField("column", T.StringType()), T.StructField("lo", T.DoubleType()),
+        T.StructField("column", T.IntegerType()), T.StructField("lo", T.DoubleType()),
         T.StructField("hi", T.DoubleType())])
     if direct:
         _fetch_sorted(long_df, direct, result, schema, spark)
@@ -108,7 +109,7 @@ def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None
                     break
                 cum += h.n
             if h.mn == h.mx:
-                result[(v["g"], v["column"], v["rank"])] = h.mn
+                result[(v["g"], v["name"], v["rank"])] = h.mn
                 del targets[t]
             elif h.n <= collect_limit:
                 to_collect[t] = dict(v, lo=h.mn, hi=h.mx, offset=v["rank"] - cum)
@@ -137,7 +138,7 @@ def _fetch_sorted(long_df, items, result, schema, spark):
             .groupBy("tid").agg(F.sort_array(F.collect_list("x")).alias("xs")).collect())
     for r in rows:
         v = items[r.tid]
-        result[(v["g"], v["column"], v["rank"])] = r.xs[v["offset"]]
+        result[(v["g"], v["name"], v["rank"])] = r.xs[v["offset"]]
 
 
 def _fetch_distinct(long_df, items, result, schema, spark):
@@ -152,7 +153,7 @@ def _fetch_distinct(long_df, items, result, schema, spark):
         cum = 0
         for x, n in sorted(per_t[t]):
             if cum + n > v["offset"]:
-                result[(v["g"], v["column"], v["rank"])] = x
+                result[(v["g"], v["name"], v["rank"])] = x
                 break
             cum += n
 
