@@ -214,3 +214,41 @@ def test_first_rows_per_group_hot_group(spark, seed):
     want = order.sort_values(["o", "id"]).groupby("g").apply(
         lambda x: x.head((len(x) + 2) // 3), include_groups=False).reset_index(level=0)
     assert sorted(got.id) == sorted(want.id)
+
+
+def test_pca_output_is_centred_2d(spark):
+    pdf = E.queries()["pca_2d"](spark, SF_SMALL).toPandas()
+    m = np.vstack(pdf.pca.to_numpy())
+    assert m.shape[1] == 2 and np.allclose(m.mean(axis=0), 0, atol=1e-6)
+
+
+def test_word_vectors_and_neighbours(spark):
+    Q = E.queries()
+    vec = Q["word2vec"](spark, SF_SMALL).limit(5).toPandas()
+    assert all(len(v) == 100 for v in vec.vector)
+    sim = Q["similar_words"](spark, SF_SMALL).toPandas()
+    assert (sim.groupby("target").size() <= 10).all()
+    assert (sim.similarity <= 1 + 1e-9).all() and "not_in_vocabulary" not in set(sim.target)
+
+
+def test_search_tables(spark):
+    Q = E.queries()
+    g = Q["grid_search"](spark, SF_SMALL).toPandas()
+    assert len(g) == 6 and g.mean_metric.between(0, 1).all()
+    r = Q["random_search"](spark, SF_SMALL).toPandas()
+    assert len(r) == 10 and r.params.is_unique
+
+
+def test_scoring_outputs(spark):
+    Q = E.queries()
+    sc = Q["score_class_mwb"](spark, SF_SMALL).toPandas()
+    assert all(abs(sum(dict(p).values()) - 1) < 1e-3 for p in sc.probs)
+    cl = Q["score_cluster"](spark, SF_SMALL).toPandas()
+    assert all(len(d) == 5 for d in cl.distances) and cl.nombre.notna().all()
+    assert all(min(d) == d[c] for d, c in zip(cl.distances, cl.cluster))
+
+
+def test_rank_importance_sorted(spark):
+    imp = E.queries()["rank_importance"](spark, SF_SMALL).toPandas()
+    assert len(imp) <= 10 and (imp.importance > 0).all()
+    assert list(imp.importance) == sorted(imp.importance, reverse=True)
