@@ -47,7 +47,8 @@ def _order_value(key: str, seed) -> "F.Column":
     return F.conv(F.substring(hash_order(key, seed), 1, 13), 16, 10).cast("bigint").cast("double")
 
 
-def first_rows_per_group(df: DataFrame, group: str, key: str, need_fn, seed=None) -> DataFrame:
+def first_rows_per_group(df: DataFrame, group: str | None, key: str, need_fn, seed=None,
+                         order_value=None, tie_order=None) -> DataFrame:
     """The first ``need_fn(n_group)`` rows of every group in the order
     (md5(key || seed), key) -- or (key) without a seed -- without sorting a
     group in one task and without writing the data.
@@ -56,12 +57,15 @@ def first_rows_per_group(df: DataFrame, group: str, key: str, need_fn, seed=None
     numeric prefix of the order (scan-only passes, see ``quantiles``); rows
     strictly below it are kept, and only the rows tied at the cut (prefix
     collisions: a handful) are ranked by the full order.  Per-group tables
-    have one row per group."""
+    have one row per group.  ``order_value`` (a double column, ascending) and
+    ``tie_order`` (columns) replace the md5 order, e.g. ``-count`` then
+    ``term`` for a top-k by count; ``group=None`` is one group."""
     from wellspark.operators.profile import broadcast_if_small
     from wellspark.operators.quantiles import order_statistics
     spark = df.sparkSession
-    g = F.coalesce(F.col(group).cast("string"), F.lit(_NULL_GROUP))
-    keyed = df.withColumn("_g", g).withColumn("_o", _order_value(key, seed))
+    g = F.coalesce(F.col(group).cast("string"), F.lit(_NULL_GROUP)) if group else F.lit("")
+    o = order_value.cast("double") if order_value is not None else _order_value(key, seed)
+    keyed = df.withColumn("_g", g).withColumn("_o", o)
     counts, stats = order_statistics(keyed, ["_o"], lambda n: [max(0, min(need_fn(n), n) - 1)], group="_g")
     cuts = []
     for (gv, _c), n in counts.items():
@@ -75,7 +79,10 @@ def first_rows_per_group(df: DataFrame, group: str, key: str, need_fn, seed=None
     below = j.where(F.col("_o") < F.col("_t")).groupBy("_g").agg(F.count(F.lit(1)).alias("_below"))
     ties = j.where(F.col("_o") == F.col("_t")).join(below, "_g", "left") \
         .withColumn("_below", F.coalesce("_below", F.lit(0)))
-    full = [hash_order(key, seed), F.col(key)] if seed is not None else [F.col(key)]
+    if tie_order is not None:
+        full = list(tie_order)
+    else:
+        full = [hash_order(key, seed), F.col(key)] if seed is not None else [F.col(key)]
     w = Window.partitionBy("_g").orderBy(*full)
     chosen = ties.withColumn("_r", F.row_number().over(w)) \
         .where(F.col("_r") <= F.col("_need") - F.col("_below")).select("_g", F.col(key).alias("_k"))
