@@ -102,7 +102,7 @@ def fit_mlp(train: DataFrame, layers: list[int], features="features", label="lab
 
 
 def fit_kmeans(df: DataFrame, k: int = 5, starts: int = 10, seed: int = 46, features="features",
-               parallelism: int = 4):
+               parallelism: int = 8):
     """Best of ``starts`` seeded runs by training cost (sklearn ``n_init``).
     Runs are submitted from driver threads so several distributed fits share
     the cluster at once; the input is cached for the duration."""

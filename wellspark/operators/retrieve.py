@@ -132,10 +132,14 @@ def bm25_rerank(candidates: DataFrame, q_post: DataFrame, c_post: DataFrame, n_c
     all ``n_chunks`` chunks) come from the chunk postings; only candidate
     pairs are scored, so the work is bounded by candidates x terms, not by
     questions x chunks."""
-    lens = c_post.groupBy("chunk_id").agg(F.sum("tf").alias("dl"))
-    avgdl = c_post.agg(F.sum("tf")).scalar() / F.lit(n_chunks)
-    dfreq = c_post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     qt = q_post.select("qid", "term")
+    avgdl = c_post.agg(F.sum("tf")).scalar() / F.lit(n_chunks)
+    # statistics only where they are used: document frequency of the
+    # question terms, lengths of the candidate chunks (semi-joins first)
+    dfreq = c_post.join(qt.select("term").distinct(), "term", "left_semi") \
+        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    lens = c_post.join(candidates.select("chunk_id").distinct(), "chunk_id", "left_semi") \
+        .groupBy("chunk_id").agg(F.sum("tf").alias("dl"))
     pairs = candidates.select("qid", "chunk_id").join(qt, "qid").join(c_post, ["chunk_id", "term"]) \
         .join(dfreq, "term").join(lens, "chunk_id")
     idf = F.log(1 + (F.lit(n_chunks) - F.col("df") + 0.5) / (F.col("df") + 0.5))
