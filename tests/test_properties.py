@@ -252,3 +252,13 @@ def test_rank_importance_sorted(spark):
     imp = E.queries()["rank_importance"](spark, SF_SMALL).toPandas()
     assert len(imp) <= 10 and (imp.importance > 0).all()
     assert list(imp.importance) == sorted(imp.importance, reverse=True)
+
+
+def test_kde_curve_matches_numpy(spark):
+    from wellspark.operators.profile import kde_curve
+    x = np.random.default_rng(5).gamma(2.0, 3.0, 400)
+    got = kde_curve(spark.createDataFrame(pd.DataFrame({"x": x})), "x", 50).toPandas().sort_values("point")
+    h = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 50)
+    want = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+    assert np.allclose(got.density.to_numpy(), want, rtol=1e-9)

@@ -95,6 +95,18 @@ def q_histogram(spark, sf):
                     "n", F.round("density", 9).alias("density"))
 
 
+@register("histogram_kde", S, """
+WITH s AS (SELECT min(value) AS lo, max(value) AS hi, count(value) AS n, stddev_samp(value) AS sd FROM events),
+p AS (SELECT lo, n, sd * pow(n, -0.2) AS h, (hi - lo) / 199 AS step FROM s),
+g AS (SELECT CAST(range AS INTEGER) AS point, lo + range * step AS x FROM range(200), p)
+SELECT g.point, round(g.x, 9) AS x,
+  round(sum(exp(-0.5 * pow((g.x - e.value) / p.h, 2))) / (p.n * p.h * sqrt(2 * pi())), 12) AS density
+FROM g, p, events e WHERE e.value IS NOT NULL GROUP BY g.point, g.x, p.n, p.h""")
+def q_histogram_kde(spark, sf):
+    k = P.kde_curve(table(spark, sf, "events"), "value", 200)
+    return k.select("point", F.round("x", 9).alias("x"), F.round("density", 12).alias("density"))
+
+
 @register("box_stats", S, """
 WITH q AS (SELECT l_returnflag, quantile_cont(l_extendedprice, 0.25) AS q1,
     quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.75) AS q3
