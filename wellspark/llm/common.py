@@ -48,3 +48,61 @@ def slices(sizes: Iterable[int], budget: int) -> Iterator[tuple[int, int]]:
     n = i + 1 if total or i or start else 0
     if n > start:
         yield start, n
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, k: int, r: int, per_class: int,
+                    max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, text, y, weight): at most ``per_class`` labelled rows of each class
+    whose crc32 fold is not ``r``, those with the smallest hash of the id.
+
+    ``weight`` undoes the sampling: rows of the class in the fold over rows
+    taken.  Rows with a null id, label or text, with a label other than 0 and 1
+    or with more than ``max_chars`` characters are not learned from; repeated
+    label rows count once.
+    """
+    spark = docs.sparkSession
+    ids = (labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("y"))
+           .where(F.col("id").isNotNull() & F.col("y").isin(0, 1) & (F.crc32(F.col("id").cast("string").cast("binary")) % k != r))
+           .groupBy("id").agg(F.max("y").alias("y")).withColumn("h", F.xxhash64("id")))
+    share = {row["y"]: row["n"] for row in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    taken = None
+    for y in (0, 1):
+        part = ids.where(F.col("y") == y).orderBy("h", "id").limit(per_class)
+        taken = part if taken is None else taken.unionByName(part)
+    weight = F.lit(1.0)
+    for y, n in share.items():
+        weight = F.when(F.col("y") == y, F.lit(max(1.0, n / per_class))).otherwise(weight)
+    # at most 2 x per_class rows of three numbers: bounded, so it may be broadcast
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(
+        F.col("text").isNotNull() & (F.char_length("text") <= max_chars))
+    return found.join(F.broadcast(taken), "id").withColumn("weight", weight).select("id", "text", "y", "weight", "h")
+
+
+def fit_logistic(x, y, w, l2: float = 1e-3, steps: int = 60):
+    """Weighted logistic regression by Newton steps; returns coefficients with
+    the intercept last.  One class only: the intercept of that class."""
+    import numpy as np
+
+    x = np.c_[np.asarray(x, float), np.ones(len(y))]
+    y, w = np.asarray(y, float), np.asarray(w, float)
+    beta = np.zeros(x.shape[1])
+    if not len(y):
+        return beta
+    w = w / w.sum() * len(w)
+    ridge = np.full(len(beta), l2 * len(y))
+    ridge[-1] = 1e-6 * len(y)
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -35, 35)))
+        grad = x.T @ (w * (p - y)) + ridge * beta
+        hess = (x * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(ridge)
+        step = np.linalg.solve(hess, grad)
+        beta = beta - np.clip(step, -5, 5)
+        if np.abs(step).max() < 1e-8:
+            break
+    return beta
+
+
+def sigmoid(z):
+    import numpy as np
+
+    return 1 / (1 + np.exp(-np.clip(z, -35, 35)))

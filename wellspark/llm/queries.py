@@ -6,11 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wellspark.llm.common import held_out
 from wellspark.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted", "n_clauses")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -20,6 +38,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op5_quality": op5_quality,
+    "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
 }
 
