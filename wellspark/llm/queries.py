@@ -12,6 +12,12 @@ from wellspark.sources.tables import table
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import minhash
+
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspark.llm import quality
 
@@ -38,6 +44,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op2_minhash": op2_minhash,
     "op5_quality": op5_quality,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
