@@ -26,6 +26,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", "predicted")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import decontaminate
+
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspark.llm import toxicity
 
@@ -46,8 +52,26 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op2_minhash": op2_minhash,
     "op5_quality": op5_quality,
+    "op6_decontaminate": op6_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
 }
 
-SQL: dict[str, str] = {}
+_SHINGLES = r"""
+    SELECT DISTINCT {id}, CASE WHEN len(w) < {n} THEN array_to_string(w, ' ')
+           ELSE array_to_string(w[i:i + {n} - 1], ' ') END AS s
+    FROM (SELECT {id}, w, unnest(range(1, greatest(len(w) - {n} + 1, 1) + 1)) AS i
+          FROM (SELECT {id}, regexp_extract_all({lowered}, '[^\x20\x09-\x0D]+') AS w
+                FROM {table} WHERE {id} IS NOT NULL AND text IS NOT NULL) t WHERE len(w) > 0) u
+"""
+
+SQL: dict[str, str] = {
+    "op6_decontaminate": f"""
+        WITH d AS ({_SHINGLES.format(id="doc_id", n=5, table="documents", lowered="lower(text)")}),
+             b AS ({_SHINGLES.format(id="item_id", n=5, table="benchmark", lowered="lower(text)")}),
+             n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+        SELECT doc_id, item_id, count(*) AS n_common, any_value(n_item) AS n_item
+        FROM d JOIN b USING (s) JOIN n USING (item_id)
+        GROUP BY doc_id, item_id HAVING count(*) * 100 >= any_value(n_item) * 80
+    """,
+}
