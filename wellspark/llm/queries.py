@@ -18,6 +18,12 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import secrets
+
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspark.llm import quality
 
@@ -51,6 +57,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "op2_minhash": op2_minhash,
+    "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
     "op8_toxicity": op8_toxicity,
