@@ -55,6 +55,12 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), digest=True)
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import embeddings
+
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES: dict[str, QueryFn] = {
     "op2_minhash": op2_minhash,
     "op4_secrets": op4_secrets,
@@ -62,6 +68,7 @@ QUERIES: dict[str, QueryFn] = {
     "op6_decontaminate": op6_decontaminate,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
+    "op10_embeddings": op10_embeddings,
 }
 
 _SHINGLES = r"""
