@@ -12,6 +12,14 @@ from wellspark.sources.tables import table
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import language
+
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.fit(docs))
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspark.llm import minhash
 
@@ -38,6 +46,12 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import repeats
+
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), size=200)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspark.llm import toxicity
 
@@ -62,10 +76,12 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_language": op1_language,
     "op2_minhash": op2_minhash,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
+    "op7_repeats": op7_repeats,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_embeddings": op10_embeddings,
