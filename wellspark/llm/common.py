@@ -106,3 +106,22 @@ def sigmoid(z):
     import numpy as np
 
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+
+
+BROADCAST_IDS = 1_000_000  # ids of 8 bytes; more are joined by a shuffle
+
+
+def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows whose id is not among ``ids`` (a null id never is)."""
+    ids = checkpoint(ids.select(F.col(ids.columns[0]).alias(id_col)).where(F.col(id_col).isNotNull()).distinct())
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, id_col, "left_anti").select(*docs.columns)
+
+
+def one_row_each(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One row of every id that has several; rows with a null id all stay."""
+    again = checkpoint(docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("c"))
+                       .where("c > 1").select(id_col))
+    if again.isEmpty():
+        return docs
+    several = docs.join(again, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
+    return without(docs, again, id_col).unionByName(several)

@@ -118,21 +118,22 @@ def named(found: Column, order: int, kind: str) -> Column:
         r["s"].alias("s"), F.lit(order).alias("o"), r["e"].alias("e"), F.lit(kind).alias("kind")))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = 0.05,
-         keep: list[str] | None = None) -> DataFrame:
-    """One row per document row: the id, the columns of ``keep``, ``base`` and
-    ``random`` arrays of (s, e, kind)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    src = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), F.struct(*[F.col(c) for c in keep or [id_col]]).alias("__kept"))
-    base = [named(find(F.col("__text"), pattern, group, least), i, kind)
+RUNS = "array<struct<s:int,e:int,k:int,len:int,p:double>>"
+
+
+def _found(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """(kept, text, base spans, tested runs) of every row."""
+    src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = [named(find(F.col("text"), pattern, group, least), i, kind)
             for i, (kind, pattern, group, least) in enumerate(BASE)]
-    found = (src.withColumn("base", F.array_sort(F.concat(*base)))
-             .withColumn("runs", find(F.col("__text"), KEY_RUN))
-             .withColumn("runs", F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["s"] < r["e"]) & (r["s"] < b["e"]))))
-             .withColumn("runs", F.when(F.size("runs") > 0, tested(F.col("runs"))))
-             .select("__id", "__kept", "base", F.coalesce("runs", F.array().cast(
-                 "array<struct<s:int,e:int,k:int,len:int,p:double>>")).alias("runs")))
-    found = checkpoint(found)
+    runs = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["s"] < r["e"]) & (r["s"] < b["e"])))
+    return (src.withColumn("base", F.array_sort(F.concat(*base))).withColumn("runs", find(F.col("text"), KEY_RUN))
+            .withColumn("runs", runs).withColumn("runs", F.when(F.size("runs") > 0, tested(F.col("runs"))))
+            .withColumn("runs", F.coalesce("runs", F.array().cast(RUNS))))
+
+
+def _random(found: DataFrame, q: float) -> Column:
+    """Spans of the runs that the step-up procedure leaves as random."""
     runs = found.select(F.explode("runs").alias("r")).select("r.*")
     limit_of = {(r["k"], r["len"]): r["limit"] for r in fdr_limits(runs, q).collect()}  # one of each class
 
@@ -142,8 +143,40 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
             least = F.when((r["k"] == k) & (r["len"] == n), F.lit(p)).otherwise(least)
         return r["p"] > least
 
-    random = named(F.filter("runs", passes), len(BASE), "random")
-    return found.select("__kept.*", "base", random.alias("random"))
+    return named(F.filter("runs", passes), len(BASE), "random")
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = 0.05) -> DataFrame:
+    """One row per document row: the id, ``base`` and ``random`` spans as arrays
+    of (s, o, e, kind), o being the kind's order."""
+    found = checkpoint(_found(docs, text_col, [id_col]).select("kept", "base", "runs"))
+    return found.select("kept.*", "base", _random(found, q).alias("random"))
+
+
+def redact(docs: DataFrame, text_col: str = "text", chars_col: str | None = None, q: float = 0.05,
+           mark: str = "[SECRET]") -> DataFrame:
+    """All rows and columns, every span replaced by ``mark`` (overlapping spans
+    by one).  ``chars_col`` is set anew where the text changed.  The texts are
+    read twice, for the limits and for the spans; nothing is shuffled."""
+    found = _found(docs, text_col, docs.columns)
+    spans = F.array_sort(F.concat("base", _random(found, q)))
+    text = F.col("text")
+    parts = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), lambda acc, x: F.struct(
+        F.greatest(acc["at"], x["e"]).alias("at"),
+        F.when(x["s"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(mark)))
+        .otherwise(acc["out"]).alias("out")),
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    out = found.withColumn("spans", spans).withColumn("new", F.when(F.size("spans") > 0, parts))
+    cols = []
+    for c in docs.columns:
+        if c == text_col:
+            cols.append(F.coalesce("new", f"kept.{c}").alias(c))
+        elif c == chars_col:
+            cols.append(F.when(F.col("new").isNotNull(), F.char_length("new").cast(docs.schema[c].dataType))
+                        .otherwise(F.col(f"kept.{c}")).alias(c))
+        else:
+            cols.append(F.col(f"kept.{c}").alias(c))
+    return out.select(*cols)
 
 
 def fdr_limits(runs: DataFrame, q: float) -> DataFrame:

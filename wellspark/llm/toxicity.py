@@ -245,3 +245,17 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return src.mapInPandas(run, "id long, score double, predicted int, n_clauses long").withColumnRenamed("id", id_col)
+
+
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows, with all columns, whose score is below the threshold."""
+    names = docs.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer, beta = Scorer(Lexicon(model.words, model.stems)), np.array(model.beta)
+        for b in batches:
+            texts = b.iloc[:, names.index(text_col)]
+            x = np.array([scorer.features(t) for t in texts]).reshape(-1, 3)
+            yield b[sigmoid(x @ beta[:-1] + beta[-1]) < threshold]
+
+    return docs.mapInPandas(run, docs.schema)
