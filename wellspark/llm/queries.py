@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wellspark.llm import quotes
 from wellspark.llm.common import held_out
 from wellspark.sources.tables import table
 
@@ -26,6 +27,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, num=85, den=100)
 
 
+def op3_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wellspark.llm import secrets
 
@@ -78,6 +83,7 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, QueryFn] = {
     "op1_language": op1_language,
     "op2_minhash": op2_minhash,
+    "op3_quotes": op3_quotes,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
     "op6_decontaminate": op6_decontaminate,
@@ -96,6 +102,7 @@ _SHINGLES = r"""
 """
 
 SQL: dict[str, str] = {
+    "op3_quotes": quotes.SQL,
     "op6_decontaminate": f"""
         WITH d AS ({_SHINGLES.format(id="doc_id", n=5, table="documents", lowered="lower(text)")}),
              b AS ({_SHINGLES.format(id="item_id", n=5, table="benchmark", lowered="lower(text)")}),
