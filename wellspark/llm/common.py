@@ -39,13 +39,13 @@ def empty_like(spark: SparkSession, schema: str) -> DataFrame:
 def slices(sizes: Iterable[int], budget: int) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges whose sizes sum to at most ``budget`` (a single
     larger row is a range of its own): bounds a task's memory, drops nothing."""
-    start = total = i = 0
+    start = total = n = 0
     for i, s in enumerate(sizes):
         if i > start and total + s > budget:
             yield start, i
             start, total = i, 0
         total += s
-    n = i + 1 if total or i or start else 0
+        n = i + 1
     if n > start:
         yield start, n
 
