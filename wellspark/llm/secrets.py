@@ -64,36 +64,59 @@ def find(text: Column, pattern: str, group: int = 0, least: int = 0) -> Column:
 
 def upper_tail(z: Column) -> Column:
     """P(Z > z) of the standard normal by the logistic approximation."""
-    z = F.greatest(F.lit(-8.0), F.least(F.lit(30.0), z))
-    return 1 / (1 + F.exp(0.07056 * z * z * z + 1.5976 * z))
+    return let(F.greatest(F.lit(-8.0), F.least(F.lit(30.0), z)),
+               lambda v: 1 / (1 + F.exp(0.07056 * v * v * v + 1.5976 * v)))
+
+
+def let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once: a lambda's variable is
+    bound to it, where a plain column would be computed at every use."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def total(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+
+
+def lag_sum(x: Column, pair) -> Column:
+    """Sum of ``pair`` over the neighbours of an array, in one walk."""
+    start = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0.0).alias("sum"))
+    return F.aggregate(x, start, lambda acc, v: F.struct(v.alias("last"), (acc["sum"] + F.when(
+        acc["last"].isNotNull(), pair(acc["last"], v)).otherwise(0.0)).alias("sum")), lambda acc: acc["sum"])
 
 
 def battery(codes: Column, size: int) -> Column:
-    """Combined p-value of a run's symbol codes being uniform over ``size``."""
-    n = F.size(codes).cast("double")
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
+    """Combined p-value of a run's symbol codes (doubles) being uniform over
+    ``size`` symbols."""
+    return let(codes, lambda c: let(F.size(c).cast("double"), lambda n: _battery(c, n, size)))
+
+
+def _battery(codes: Column, n: Column, size: int) -> Column:
     squares = total(F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda a: F.pow(
         F.size(F.filter(codes, lambda c: c == a)).cast("double"), F.lit(2.0))))
     df = float(size - 1)
     chi = (F.pow(F.greatest(squares * size / n - n, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5
     high = F.transform(codes, lambda c: (c >= size // 2).cast("double"))
-    ones = total(high)
-    turns = 1 + total(F.transform(high, lambda h, i: F.when((i > 0) & (h != F.get(high, i - 1)), 1.0).otherwise(0.0)))
-    mean = 2 * ones * (n - ones) / n + 1
-    spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
-    runs = F.least(F.abs(turns - mean) / spread, F.lit(30.0))
-    centre = total(F.transform(codes, lambda c: c.cast("double"))) / n
-    away = F.transform(codes, lambda c: c - centre)
-    var = F.greatest(total(F.transform(away, lambda d: d * d)), F.lit(1e-9))
-    serial = total(F.transform(away, lambda d, i: F.when(i > 0, d * F.get(away, i - 1)).otherwise(0.0))) / var
+    turns = 1 + lag_sum(high, lambda x, y: F.abs(x - y))
+
+    def runs(ones: Column) -> Column:
+        mean = 2 * ones * (n - ones) / n + 1
+        spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
+        return F.least(F.abs(turns - mean) / spread, F.lit(30.0))
+
+    def serial(away: Column) -> Column:
+        var = F.greatest(total(F.transform(away, lambda d: d * d)), F.lit(1e-9))
+        return F.abs(lag_sum(away, lambda x, y: x * y) / var) * F.sqrt(n)
+
+    away = let(total(codes) / n, lambda m: F.transform(codes, lambda c: c - m))
     log = lambda p: -F.log(F.greatest(F.least(p, F.lit(1.0)), F.lit(1e-150)))
-    x = log(upper_tail(chi)) + log(2 * upper_tail(runs)) + log(2 * upper_tail(F.abs(serial) * F.sqrt(n)))
-    return F.exp(-x) * (1 + x + x * x / 2)
+    x = log(upper_tail(chi)) + log(2 * upper_tail(let(total(high), runs))) + log(2 * upper_tail(let(away, serial)))
+    return let(x, lambda v: F.exp(-v) * (1 + v + v * v / 2))
 
 
 def codes_of(letters: Column, alphabet: str) -> Column:
     """Place of every character in the alphabet."""
-    return F.transform(F.split(letters, ""), lambda c: F.call_function("instr", F.lit(alphabet), c) - 1)
+    return F.transform(F.split(letters, ""), lambda c: (F.call_function("instr", F.lit(alphabet), c) - 1).cast("double"))
 
 
 def tested(runs: Column) -> Column:
