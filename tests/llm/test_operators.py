@@ -1,0 +1,355 @@
+"""Operators of the training-text subpackage against plain versions, library
+results, held-out accuracy and edge cases."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.llm import brute
+from tests.oracle import compare
+from wellspark.llm import (bpe, decontaminate, embeddings, language, minhash, quality, quotes, repeats, secrets,
+                           toxicity)
+from wellspark.llm.common import slices
+from wellspark.llm.components import components
+from wellspark.llm.queries import QUERIES
+
+DOCS = "doc_id long, text string, id string, t string, keys int, rep string"  # clashing extra columns
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def rows(documents):
+    return [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+
+
+def odd_docs(spark, texts):
+    return spark.createDataFrame([(i, t, "x", None, 1, "r") for i, t in texts], DOCS)
+
+
+def vocabulary():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_slices_cover_every_row():
+    for sizes in ([], [0], [5], [0, 0, 0], [3, 0, 9, 1, 1, 20, 0]):
+        got = [i for lo, hi in slices(sizes, 4) for i in range(lo, hi)]
+        assert got == list(range(len(sizes)))
+
+
+# ---------------------------------------------------------------- components
+
+def test_components_match_union_find(spark):
+    rng = random.Random(4)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(7, 7), (None, 3)]
+    parent = {x: x for e in edges if None not in e for x in e}
+    for a, b in edges:
+        if a is not None:
+            brute.union(parent, a, b)
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: brute.find_root(parent, x) for e in edges if None not in e and e[0] != e[1] for x in e}
+
+
+# ------------------------------------------------------------------- BPE (9)
+
+ODD = ["", "a", "  ", "<|endoftext|>hello", "x<|startoftext|> Foo'S don't We'LL", "ΑΣ ΣΑΣ", "İstanbul ǅ ß ẞ", "日本語 한국어",
+       "a\x1cb\x85c​d᠎e f", "🎉🎉👩‍👩‍👧 12345 ½ ²", "aaaa" * 500, "é é", "!!!...'''s 's'", "\x00\x01", "<|endoftext",
+       "tab\tnew\nline\r\n\xa0nb", "ab" * 3000, "ﬁ Å"]
+
+
+def test_bpe_equals_library(spark, rows):
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(vocabulary())
+    lib.no_padding()
+    lib.no_truncation()
+    texts = [t or "" for _, t in rows[:120]] + ODD
+    got = sorted(bpe.encode(odd_docs(spark, list(enumerate(texts)) + [(9999, None)]), vocabulary()).collect())
+    for r, t in zip(got, [*texts, ""]):
+        want = lib.encode(t, add_special_tokens=False).ids
+        assert (list(r.ids), r.n_tokens, r.decoded) == (want, len(want), lib.decode(want, skip_special_tokens=False)), t[:50]
+
+
+def test_bpe_empty_table(spark):
+    assert bpe.encode(odd_docs(spark, []), vocabulary(), digest=True).count() == 0
+
+
+# --------------------------------------------------------------- MinHash (2)
+
+def test_minhash_equals_brute_force(spark, rows, documents):
+    for n, num in ((3, 85), (5, 80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(documents, n, num).collect()}
+        assert got == brute.near_duplicates(rows, n, num)
+
+
+def test_minhash_near_copies_of_one_text(spark):
+    rng = random.Random(1)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    texts = []
+    for i in range(220):
+        w = list(base)
+        for _ in range(rng.randrange(8)):
+            w[rng.randrange(len(w))] = f"z{rng.randrange(10**6)}"
+        texts.append((i, " ".join(w)))
+    texts += [(1000 + i, " ".join(base)) for i in range(30)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(odd_docs(spark, texts)).collect()}
+    assert got == brute.near_duplicates(texts, 3, 85)
+
+
+def test_minhash_edge_cases(spark):
+    texts = [(1, None), (2, ""), (3, " \t"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "ünï ÇÖDE x y"), (7, "ünï ÇÖDE x y"),
+             (8, "a b c d"), (9, "q r s t u"), (9, "a b c d"), (10, "q r s t u"), (None, "a b c d")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(odd_docs(spark, texts)).collect()),
+                 key=str)
+    assert got == sorted([(1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False), (6, 1, 6, True),
+                          (7, 2, 7, True), (7, 2, 7, True), (8, 2, 8, True), (9, 3, 8, False), (9, 2, 8, False), (10, 3, 8, False),
+                          (None, 2, None, True)], key=str)
+    assert minhash.near_duplicates(odd_docs(spark, [])).count() == 0
+
+
+def test_tensor_groups_reach_the_stated_recall():
+    for s in (0.8, 0.85, 0.95):
+        m = minhash.groups_for(s)
+        assert (1 - (1 - s ** minhash.ROWS) ** m) ** 2 >= 1 - 2e-4
+
+
+# ------------------------------------------------------- decontamination (6)
+
+def test_contained_equals_brute_force(spark, rows, documents):
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    got = {tuple(r) for r in decontaminate.contained(documents, bench).collect()}
+    low = [(i, t.lower() if t else t) for i, t in rows]
+    assert got == brute.contained(low, [(r.item_id, r.text.lower()) for r in bench.collect()]) and got
+
+
+def test_contained_edge_cases(spark):
+    item = " ".join(f"i{k}" for k in range(30))
+    docs = [(1, None), (2, ""), (3, "x " * 4000 + item + " y" * 4000), (4, item[:60]), (5, "short one"), (6, "a short one here"),
+            (None, item), (3, "x " * 4000 + item + " y" * 4000)]
+    bench = spark.createDataFrame([(1, item, 5), (2, "short one", 5), (3, None, 5), (4, "", 5), (None, item, 5), (5, item, 5)],
+                                  "item_id long, text string, s int")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contained(odd_docs(spark, docs), bench).collect()}
+    assert got == {(3, 1), (3, 5), (5, 2)}
+    assert decontaminate.contained(odd_docs(spark, docs), bench.limit(0)).count() == 0
+    assert decontaminate.contained(odd_docs(spark, []), bench).count() == 0
+
+
+def test_few_shared_bin_minima_are_allowed_for():
+    assert decontaminate.extra_bits(1, 0.8) > decontaminate.extra_bits(11, 0.8) == decontaminate.extra_bits(40, 0.8)
+
+
+# -------------------------------------------------------------- secrets (4)
+
+def test_base_secrets_equal_brute_force(spark, documents):
+    extra = odd_docs(spark, [(-1, None), (-2, ""), (-3, "pässwörd Password: 'abc' token=token=abcdefgh secret=token:abcdef1"),
+                             (-4, "🎉 AKIA" + "A" * 15 + " AKIA" + "B1" * 9 + " " + "af09" * 6 + " API_KEY = \"x.y/z+=-\""),
+                             (-5, "token=" + "deadbeef" * 5)])
+    docs = documents.select("doc_id", "text").unionByName(extra.select("doc_id", "text"))
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for r in secrets.digest(secrets.scan(docs)).collect():
+        assert ([r.n_assign, r.n_access, r.n_hex], r.base_sha256) == brute.base_secrets(text[r.doc_id])
+
+
+def test_battery_tells_random_from_ordinary(spark):
+    rng = random.Random(8)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    random_runs = ["".join(rng.choice(b64) for _ in range(40)) + "a1Z" for _ in range(200)]
+    ordinary = [f"{w}" * 3 + "-Aa1" for w in ("ThisIsAnOrdinaryName", "some/long/path/to/files", "aaaaaaaaaaaaaaaaaaaaaaa")] * 40
+    docs = [(i, f"x {r} y") for i, r in enumerate(random_runs)] + [(1000 + i, f"x {r} y") for i, r in enumerate(ordinary)]
+    got = {r.doc_id: len(r.random) for r in secrets.scan(odd_docs(spark, docs)).collect()}
+    assert sum(got[i] for i in range(200)) >= 180
+    assert sum(got[1000 + i] for i in range(len(ordinary))) == 0
+
+
+def test_redaction_replaces_every_span(spark):
+    docs = spark.createDataFrame([(1, "é password=hunter22 and token=" + "0f" * 15 + "!", "k", 7), (2, "clean", "k", 5), (3, None, None, None)],
+                                 "doc_id long, text string, kept string, n_chars long")
+    got = sorted(tuple(r) for r in secrets.redact(docs, chars_col="n_chars").collect())
+    assert got == [(1, "é [SECRET] and [SECRET]!", "k", 24), (2, "clean", "k", 5), (3, None, None, None)]
+    assert secrets.redact(docs.limit(0)).count() == 0
+
+
+# -------------------------------------------------------------- repeats (7)
+
+@pytest.mark.parametrize("hot", [8192, 1])
+def test_repeats_equal_brute_force(spark, rows, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT", hot)  # 1: every anchor with several contents is split by its windows
+    some = rows[:150]
+    extra = [(-1, None), (-2, ""), (-3, "ab" * 400), (-4, "x" * 199), (-5, "y" * 200), (-6, "z" * 201), (-7, some[0][1]),
+             (-8, "é" * 99 + (some[1][1] or "")[:500]), (-9, "q" + (some[1][1] or "")[100:700] + "r")]
+    docs = some + extra
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(odd_docs(spark, docs)).collect()}
+    assert got == dict(zip([i for i, _ in docs], brute.remove_repeats([t for _, t in docs], 200)))
+
+
+def test_repeats_rows_without_ids_and_empty(spark):
+    text = "".join(random.Random(3).choice("abcdefgh ") for _ in range(500))
+    got = repeats.remove_repeats(odd_docs(spark, [(None, text), (1, text), (1, text + "!")]), texts=True).collect()
+    assert sorted((r.n_bytes, r.n_removed, bytes(r.kept)) for r in got) == [(500, 500, b""), (500, 500, b""), (501, 500, b"!")]
+    assert repeats.remove_repeats(odd_docs(spark, [])).count() == 0
+
+
+def test_levels_grow_geometrically():
+    rng, fam, met = np.random.default_rng(2), repeats.Levels(), {}
+    for _ in range(40):
+        key = rng.integers(0, 3000, 100).astype(np.uint64)
+        base = fam.reserve(len(key))
+        fam.add(key, np.arange(base, base + len(key)))
+        for i, k in enumerate(key.tolist()):
+            met.setdefault(k, []).append(base + i)
+    # a key's later windows are marked, and its first once a second is met
+    for places in met.values():
+        assert fam.marks[places].all() == (len(places) > 1)
+    sizes = [len(k) for k, _ in fam.levels]
+    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:]))
+
+
+# ----------------------------------------------------------- embeddings (10)
+
+def test_embeddings_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(120, 16))
+    v = [x.tolist() for x in base] + [(x + rng.normal(size=16) * 0.12).tolist() for x in base[:80] for _ in range(2)]
+    v += [base[0].tolist()] * 30 + [(base[1] * 5).tolist()] * 3 + [None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [None] + [1.0] * 15,
+                                                                  [1.0, 2.0], [float("inf")] * 16, [1e-200] * 16, [1e200] * 16]
+    data = list(enumerate(v))
+    df = spark.createDataFrame([(i, x, "a", 3) for i, x in data], "vec_id long, embedding array<double>, k string, home int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df, 0.95, recall=0.999).collect()}
+    want = brute.vector_links([(i, x if x is None or len(x) != 2 else None) for i, x in data], 0.95)
+    close = sum(got[i] == want[i] for i in want) / len(want)
+    assert close >= 0.97 and all(got[i][0] <= want[i][0] for i in want)
+    assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_multi_sequence_order():
+    rng = np.random.default_rng(1)
+    a, b = rng.random(9), rng.random(7)
+    sums = (a[:, None] + b).ravel()
+    assert np.allclose(sums[embeddings.traverse(a, b, 63)], np.sort(sums))
+
+
+def test_embeddings_recall_on_the_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows_ = [(r.vec_id, r.embedding) for r in df.collect()][:600]
+    small = df.where(F.col("vec_id").isin([i for i, _ in rows_]))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(small, 0.3).collect()}
+    want = brute.vector_links(rows_, 0.3)
+    assert sum(g[0] for g in got.values()) >= 0.9 * sum(w[0] for w in want.values())
+
+
+# ---------------------------------------------- learned operators (1, 5, 8)
+
+def fold(i, k):
+    return zlib.crc32(str(i).encode()) % k
+
+
+def test_language_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op1_language"](spark, SF_ORACLE).collect()}
+    test = [(r.doc_id, r.lang) for r in docs.collect() if r.lang and fold(r.doc_id, 3) == 1]
+    assert np.mean([got[i].lang_pred == lang for i, lang in test]) >= 0.97
+    assert all(got[i].held_out == (fold(i, 3) == 1) and 0 <= got[i].score <= 1 for i in got)
+
+
+def test_language_edge_cases(spark):
+    docs = odd_docs(spark, [(1, None), (2, ""), (3, "12 !!"), (4, "hello " * 5000), (None, "hello")]).withColumn("lang", F.lit("en"))
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, language.fit(docs, k=3, r=99)).collect()}
+    assert got == {1: "und", 2: "und", 3: "und", 4: "en", None: "en"}
+    assert language.fit(docs.limit(0)) is None
+    assert {r.lang_pred for r in language.predict(docs, None).collect()} == {"und"}
+
+
+def test_gru_gradients_are_right():
+    rng = np.random.default_rng(0)
+    h, x = 3, rng.integers(0, 256, (2, 4))
+    table, state, out = rng.normal(size=(256, 3 * h)), rng.normal(size=(h, 3 * h)), rng.normal(size=(4, 2, h))
+    loss = lambda: (language.forward(x, table, state)[0] * out).sum()
+    dt, ds = np.zeros_like(table), np.zeros_like(state)
+    language.backward(x, out, language.forward(x, table, state, True)[1], state, dt, ds)
+    for p, g, at in ((state, ds, (1, 4)), (state, ds, (2, 8)), (table, dt, (x[0, 1], 2)), (table, dt, (x[1, 3], 7))):
+        kept, e = p[at], 1e-6
+        p[at] = kept + e
+        up = loss()
+        p[at] = kept - e
+        down = loss()
+        p[at] = kept
+        assert abs((up - down) / (2 * e) - g[at]) < 1e-5
+
+
+def accuracy(spark, name, label, k, r):
+    labels = {x.doc_id: x[label] for x in spark.read.parquet(f"{SF_ORACLE}/labels.parquet").collect()}
+    got = {x.doc_id: x for x in QUERIES[name](spark, SF_ORACLE).collect()}
+    assert all(x.held_out == (fold(i, k) == r) and 0 <= x.score <= 1 for i, x in got.items())
+    return np.mean([got[i].predicted == y for i, y in labels.items() if fold(i, k) == r])
+
+
+def test_quality_held_out_accuracy(spark):
+    assert accuracy(spark, "op5_quality", "quality", 4, 2) >= 0.92
+
+
+def test_toxicity_held_out_accuracy(spark):
+    assert accuracy(spark, "op8_toxicity", "toxic", 5, 0) >= 0.93
+
+
+@pytest.mark.parametrize("module,label", [(quality, "quality"), (toxicity, "toxic")])
+def test_scores_without_labels_and_texts(spark, module, label):
+    docs = odd_docs(spark, [(1, None), (2, ""), (3, "word " * 30000), (3, "word"), (None, "word")])
+    labels = spark.createDataFrame([(1, None), (None, 1), (77, 1)], f"doc_id long, {label} int")
+    model = module.fit(docs, labels)
+    got = module.score(docs, model).collect()
+    assert len(got) == 5 and all(0 <= r.score <= 1 for r in got)
+    assert module.score(docs.limit(0), module.fit(docs, labels.limit(0))).count() == 0
+
+
+def test_grammar_composition():
+    net = toxicity.compose(toxicity.grammar())
+    scorer = toxicity.Scorer(toxicity.Lexicon({"scum": 2.0}, {}))
+    one = scorer.clauses("scum here.")[0]
+    assert one == 2.0 and net.states == 2 * 4 * 2 * 2 * 2
+    assert scorer.clauses("you are scum")[0] > one
+    assert scorer.clauses("not scum")[0] < one
+    assert scorer.clauses("he said scum")[0] < one
+    assert scorer.clauses("kill time")[0] < scorer.clauses("kill you, i will kill")[0]
+    assert scorer.clauses("scum. clean. scum") == [2.0, 2.0] and scorer.clauses(None) == []
+
+
+# ---------------------------------------------------------------- quotes (3)
+
+def test_quotes_link_and_equal_sql(spark):
+    import duckdb
+
+    data = [(1, 0, "u", "Hello there.\nHow are   you?"), (1, 1, "a", "> hello THERE.\nFine."), (1, 2, "u", "ok"),
+            (1, 3, "a", ">> Hello there.\n> Fine.\nGood\n\n> > how are you?"), (1, 4, "u", "> ok\n> never said"),
+            (1, 5, "u", "> Hello there. How are you?\nx"), (2, 0, None, None), (2, 1, "a", ""), (2, 2, "a", ">\n> \n>>"),
+            (3, 0, "u", "> later"), (3, 1, "u", "later"), (None, 1, "u", "> later"), (4, None, "u", "> x")]
+    df = spark.createDataFrame([(*d, "c") for d in data], "conv_id long, turn long, role string, text string, conv string")
+    got = quotes.reply_order(df).toPandas()
+    pdf = pd.DataFrame(data, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})
+    con = duckdb.connect()
+    con.register("conversations", pdf)
+    assert compare(got, con.execute(quotes.SQL).df()) == []
+    one = got[got.conv_id == 1].sort_values(["thread", "turn"])
+    assert one.turn.tolist() == [0, 1, 3, 5, 2, 4] and not got.text.str.contains(">").any()
+    assert quotes.reply_order(df.limit(0)).count() == 0
+
+
+def test_digests_carry_the_contract_columns(spark):
+    want = {"op2_minhash": {"doc_id", "n_shingles", "component_id", "kept"},
+            "op4_secrets": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
+            "op7_repeats": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"},
+            "op9_bpe": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
+            "op10_embeddings": {"vec_id", "n_links", "component_id", "kept"}}
+    for name, cols in want.items():
+        assert cols <= set(QUERIES[name](spark, SF_SMALL).columns)
+    assert hashlib.sha256(b"").hexdigest() in {r.ids_sha256 for r in bpe.encode(odd_docs(spark, [(1, None)]), vocabulary(), digest=True).collect()}
