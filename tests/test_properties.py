@@ -37,6 +37,45 @@ def test_exact_quantiles_match_numpy_on_skewed_data(spark):
         assert cont[(g, "x", 0.3)] == pytest.approx(np.quantile(sub.x, 0.3), rel=1e-12, abs=1e-9)
 
 
+def _order_statistics(spark, monkeypatch, pdf, ranks, group=None):
+    """Result, and the most rows that a pass read back for a target."""
+    passes = []
+
+    def counted(values, ranges, buckets, real=quantiles._narrowed):
+        out = real(values, ranges, buckets)
+        passes.append((out.count(), ranges.count()))
+        return out
+
+    monkeypatch.setattr(quantiles, "_narrowed", counted)
+    got = quantiles.order_statistics(spark.createDataFrame(pdf), ["x"], ranks, group)[1]
+    assert all(rows <= targets for rows, targets in passes) and len(passes) <= 12
+    return got
+
+
+def test_order_statistics_with_infinities_and_outliers(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    for odd in ([np.inf] * 3 + [-np.inf], [1.7e308, -1.7e308, 1e300], [5e-324, -5e-324, 0.0], []):
+        x = np.concatenate([rng.normal(0, 1, 20_000), np.full(9000, 0.5), odd])
+        ranks = [0, 3, len(x) // 4, len(x) // 2, 3 * len(x) // 4, len(x) - 3, len(x) - 1]
+        got = _order_statistics(spark, monkeypatch, pd.DataFrame({"x": x}), lambda n: ranks)
+        assert [got[("", "x", r)] for r in ranks] == np.sort(x)[ranks].tolist()
+
+
+def test_order_statistics_over_many_magnitudes(spark, monkeypatch):
+    x = np.concatenate([2.0 ** np.arange(-1000, 1000), -(3.0 ** np.arange(-600, 600))])
+    ranks = list(range(5, len(x), 401))
+    got = _order_statistics(spark, monkeypatch, pd.DataFrame({"x": x}), lambda n: ranks)
+    assert [got[("", "x", r)] for r in ranks] == np.sort(x)[ranks].tolist()
+
+
+def test_order_statistics_of_many_groups(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"x": rng.integers(0, 50, 30_000) / 7.0, "g": rng.integers(0, 1500, 30_000).astype(str)})
+    got = _order_statistics(spark, monkeypatch, pdf, lambda n: [n // 2], "g")
+    for g, sub in pdf.groupby("g"):
+        assert got[(g, "x", len(sub) // 2)] == np.sort(sub.x)[len(sub) // 2]
+
+
 def test_iqr_null_fails_and_all_null_column_skipped(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (None, None), (100.0, None)],
                                "a double, b double")

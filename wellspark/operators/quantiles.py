@@ -2,34 +2,32 @@
 
 Spark's exact ``percentile`` merges every distinct value of a group into one
 task, and ``approxQuantile(.., 0.0)`` ships all samples to the driver; both
-break at scale.  Here each pass is one scan with a small aggregate:
-
-1. pass 0: ``count, min, max`` per (group, column);
-2. each later pass buckets the values of every unresolved target into
-   ``buckets`` equal-width bins over its current value range, counting the
-   values below the range at the same time; the driver (which only sees
-   targets x buckets numbers) narrows the range to the bin holding the wanted
-   rank;
-3. a target is done when its bin holds one distinct value, or when it holds
-   at most ``collect_limit`` values, which are then fetched and indexed.
-
-Ranges shrink by a factor ``buckets`` per pass, so a handful of passes
-suffice; a value shared by a third of all rows ends the search at once
-(min == max of its bin).  The range table is broadcast; its size is bounded
-by groups x columns x ranks and checked.
+break at scale.  Here each pass is one scan with a small aggregate, the same at
+every size:
+
+1. pass 0: counts of finite values and of both infinities, and the finite
+   minimum and maximum, per (group, column);
+2. each later pass deals the values in a target's current range into
+   ``buckets`` bins, counts them, sums the counts up to the wanted rank in Spark
+   and reads back one row per target: the bin that holds the rank, with its
+   count, minimum and maximum, which are the next range;
+3. a target is done when its bin holds one distinct value, or when the rank is
+   the first or the last of the bin.
+
+Bins have equal width; where that left most values in one bin, the next pass
+cuts the range on a logarithmic scale, so neither far outliers nor values spread
+over many magnitudes add more than a few passes.  A value shared by a third of
+all rows ends the search at once.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_MAX_TARGETS = 200_000
-
 
 def _long(df: DataFrame, cols: list[str], group: str | None) -> DataFrame:
     """(g, column index, x) rows; the column travels as a small int."""
@@ -41,123 +39,82 @@ def _long(df: DataFrame, cols: list[str], group: str | None) -> DataFrame:
             .where(F.col("x").isNotNull() & ~F.isnan("x")))
 
 
-def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None = None,
-                     buckets: int = 1024, collect_limit: int = 50_000, max_passes: int = 12):
+_RANGES = T.StructType([
+    T.StructField("tid", T.IntegerType()), T.StructField("g", T.StringType()),
+    T.StructField("column", T.IntegerType()), T.StructField("rank", T.LongType()),
+    T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType()),
+    T.StructField("half", T.DoubleType()), T.StructField("unit", T.DoubleType())])
+
+
+def _range(tid: int, t: dict) -> tuple:
+    """A target's row: ``half`` keeps a range wider than the largest double
+    finite, ``unit`` > 0 asks for bins on a logarithmic scale."""
+    half = 0.5 if math.isinf(t["hi"] - t["lo"]) else 1.0
+    unit = max(abs(t["lo"]), abs(t["hi"])) * 1e-290 if t["uneven"] else 0.0
+    return tid, t["g"], t["column"], t["rank"], t["lo"], t["hi"], half, max(unit, 5e-324) if t["uneven"] else 0.0
+
+
+def _scaled(x):
+    """Where a value lies on the target's scale (monotonic in the value)."""
+    return F.when(F.col("unit") > 0, F.signum(x) * F.log1p(F.least(F.abs(x) / F.col("unit"), F.lit(1.7e308)))).otherwise(x * F.col("half"))
+
+
+def _narrowed(long_df: DataFrame, ranges: DataFrame, buckets: int) -> DataFrame:
+    """One row per target: the bin holding the rank, and the rows before it."""
+    near = long_df.join(ranges, ["g", "column"]).where(F.col("x").between(F.col("lo"), F.col("hi")))
+    low, high = _scaled(F.col("lo")), _scaled(F.col("hi"))
+    part = F.when(F.col("x") == F.col("hi"), 1.0).when(F.col("x") == F.col("lo"), 0.0).otherwise(
+        F.coalesce(F.try_divide(_scaled(F.col("x")) - low, high - low), F.lit(0.0)))
+    bins = (near.select("tid", "rank", "x", F.least(F.lit(buckets - 1), F.greatest(F.lit(0), F.floor(part * buckets))).alias("b"))
+            .groupBy("tid", "rank", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")))
+    # at most ``buckets`` rows of a target meet in its window
+    of_target = Window.partitionBy("tid")
+    upto = of_target.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    return (bins.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).withColumn("all", F.sum("n").over(of_target))
+            .where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n"))))
+
+
+def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None = None, buckets: int = 1024):
     """Exact values at requested 0-based ranks.
 
     ``ranks_fn(n) -> list[int]`` gives the ranks wanted for a column of ``n``
-    non-null values.  Returns ``({(g, col): n}, {(g, col, rank): value})``.
+    values that are neither null nor NaN.  Returns
+    ``({(g, col): n}, {(g, col, rank): value})``; the driver holds no more than
+    these, and reads one row per open target and pass.
     """
     spark = df.sparkSession
     long_df = _long(df, cols, group)
+    inf = float("inf")
+    finite = F.when(F.abs("x") < inf, F.col("x"))
     stats = long_df.groupBy("g", "column").agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()
-    if len(stats) * 4 > _MAX_TARGETS:
-        raise ValueError("too many groups for exact order statistics; pass rel_err > 0")
-    counts = {(r.g, cols[r.column]): r.n for r in stats}
-    targets = {}  # tid -> dict(g, column, rank, lo, hi)
-    direct = {}   # small (group, column): fetch its sorted values at once
-    result = {}
-    tid = 0
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") == -inf).alias("below"), F.count(finite).alias("fin"),
+        F.min(finite).alias("lo"), F.max(finite).alias("hi")).collect()
+    counts, result, targets = {}, {}, {}
     for r in stats:
-        for rank in sorted(set(ranks_fn(r.n))):
-            rank = min(max(rank, 0), r.n - 1)
-            if r.lo == r.hi:
-                result[(r.g, cols[r.column], rank)] = r.lo
-                continue
-            t = dict(g=r.g, column=r.column, name=cols[r.column], rank=rank, lo=r.lo, hi=r.hi)
-            if r.n <= collect_limit:
-                direct[tid] = dict(t, offset=rank)
+        name = cols[r.column]
+        counts[(r.g, name)] = r.n
+        for rank in {min(max(k, 0), r.n - 1) for k in ranks_fn(r.n)}:
+            at = rank - r.below
+            if at < 0 or at >= r.fin:
+                result[(r.g, name, rank)] = -inf if at < 0 else inf
+            elif r.lo == r.hi or at in (0, r.fin - 1):
+                result[(r.g, name, rank)] = r.lo if at == 0 else r.hi
             else:
-                targets[tid] = t
-            tid += 1
-
-    schema = T.StructType([
-        T.StructField("tid", T.IntegerType()), T.StructField("g", T.StringType()),
-        T.StructField("column", T.IntegerType()), T.StructField("lo", T.DoubleType()),
-        T.StructField("hi", T.DoubleType())])
-    if direct:
-        _fetch_sorted(long_df, direct, result, schema, spark)
-
-    passes = 0
+                targets[len(targets)] = dict(g=r.g, column=r.column, key=(r.g, name, rank), rank=at, lo=r.lo, hi=r.hi, uneven=False)
+    values = long_df.where(F.abs("x") < inf)
     while targets:
-        passes += 1
-        ranges = spark.createDataFrame(
-            [(t, v["g"], v["column"], float(v["lo"]), float(v["hi"])) for t, v in targets.items()],
-            schema)
-        joined = long_df.join(F.broadcast(ranges), ["g", "column"])
-        width = F.col("hi") - F.col("lo")
-        bucket = (F.when(F.col("x") < F.col("lo"), F.lit(-1))
-                  .when(F.col("x") > F.col("hi"), F.lit(buckets))
-                  .otherwise(F.least(F.lit(buckets - 1),
-                                     F.floor((F.col("x") - F.col("lo")) / width * buckets).cast("int"))))
-        hist = (joined.select("tid", "x", bucket.alias("b"))
-                .where(F.col("b") < buckets)
-                .groupBy("tid", "b")
-                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-                .collect())
-        per_t = defaultdict(list)
-        for h in hist:
-            per_t[h.tid].append(h)
-        to_collect = {}
-        stalled = {}
-        for t, v in list(targets.items()):
-            rows = sorted(per_t[t], key=lambda h: h.b)
-            cum = 0
-            for h in rows:
-                if cum + h.n > v["rank"]:
-                    break
-                cum += h.n
-            if h.mn == h.mx:
-                result[(v["g"], v["name"], v["rank"])] = h.mn
-                del targets[t]
-            elif h.n <= collect_limit:
-                to_collect[t] = dict(v, lo=h.mn, hi=h.mx, offset=v["rank"] - cum)
-                del targets[t]
-            elif (h.mn, h.mx) == (v["lo"], v["hi"]) or passes >= max_passes:
-                stalled[t] = dict(v, lo=h.mn, hi=h.mx, offset=v["rank"] - cum)
-                del targets[t]
+        ranges = spark.createDataFrame([_range(i, t) for i, t in targets.items()], _RANGES)
+        for h in _narrowed(values, ranges, buckets).collect():
+            t = targets[h.tid]
+            at = t["rank"] - h.before
+            if h.mn == h.mx or at in (0, h.n - 1):
+                result[t["key"]] = h.mn if at == 0 else h.mx
+                del targets[h.tid]
             else:
-                v["lo"], v["hi"] = h.mn, h.mx
-        if to_collect:
-            _fetch_sorted(long_df, to_collect, result, schema, spark)
-        if stalled:
-            _fetch_distinct(long_df, stalled, result, schema, spark)
+                t.update(rank=at, lo=h.mn, hi=h.mx, uneven=not t["uneven"] and 2 * h.n > h["all"])
     return counts, result
 
 
-def _ranges_df(spark, items, schema):
-    return spark.createDataFrame(
-        [(t, v["g"], v["column"], float(v["lo"]), float(v["hi"])) for t, v in items.items()], schema)
-
-
-def _fetch_sorted(long_df, items, result, schema, spark):
-    # Each range holds at most collect_limit values (measured in the last pass).
-    rows = (long_df.join(F.broadcast(_ranges_df(spark, items, schema)), ["g", "column"])
-            .where(F.col("x").between(F.col("lo"), F.col("hi")))
-            .groupBy("tid").agg(F.sort_array(F.collect_list("x")).alias("xs")).collect())
-    for r in rows:
-        v = items[r.tid]
-        result[(v["g"], v["name"], v["rank"])] = r.xs[v["offset"]]
-
-
-def _fetch_distinct(long_df, items, result, schema, spark):
-    # Ranges too narrow to split further hold few distinct values: count them.
-    rows = (long_df.join(F.broadcast(_ranges_df(spark, items, schema)), ["g", "column"])
-            .where(F.col("x").between(F.col("lo"), F.col("hi")))
-            .groupBy("tid", "x").agg(F.count(F.lit(1)).alias("n")).collect())
-    per_t = defaultdict(list)
-    for r in rows:
-        per_t[r.tid].append((r.x, r.n))
-    for t, v in items.items():
-        cum = 0
-        for x, n in sorted(per_t[t]):
-            if cum + n > v["offset"]:
-                result[(v["g"], v["name"], v["rank"])] = x
-                break
-            cum += n
-
-
 def disc_rank(q: float, n: int) -> int:
     """0-based rank of the discrete quantile (smallest value with cume_dist >= q)."""
     return max(int(math.ceil(q * n - 1e-12)) - 1, 0)
