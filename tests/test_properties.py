@@ -301,3 +301,22 @@ def test_kde_curve_matches_numpy(spark):
     grid = np.linspace(x.min(), x.max(), 50)
     want = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
     assert np.allclose(got.density.to_numpy(), want, rtol=1e-9)
+
+
+def test_knn_keeps_near_copies_and_cuts_ties(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(30, 16))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    rows = np.vstack([base, base[0] + rng.normal(size=(40, 16)) * 1e-9, np.repeat(base[1:2], 300, axis=0)])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "id long, v array<double>")
+    got = {}
+    for r in neighbors.knn(df.where("id < 5"), df, 10, "id", "id", "v").collect():
+        got.setdefault(r.qid, []).append((r["rank"], r.nid))
+    for i in range(5):
+        d = np.sqrt(((rows - rows[i]) ** 2).sum(1))
+        assert [n for _, n in sorted(got[i])] == np.lexsort((np.arange(len(d)), d))[:10].tolist()
+
+
+def test_normalize_leaves_a_zero_vector(spark):
+    df = spark.createDataFrame([([0.0, 0.0],), ([3.0, 4.0],)], "v array<double>")
+    assert sorted(r.u for r in df.select(neighbors.normalize("v").alias("u")).collect()) == [[0.0, 0.0], [0.6, 0.8]]
