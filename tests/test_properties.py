@@ -320,3 +320,13 @@ def test_knn_keeps_near_copies_and_cuts_ties(spark):
 def test_normalize_leaves_a_zero_vector(spark):
     df = spark.createDataFrame([([0.0, 0.0],), ([3.0, 4.0],)], "v array<double>")
     assert sorted(r.u for r in df.select(neighbors.normalize("v").alias("u")).collect()) == [[0.0, 0.0], [0.6, 0.8]]
+
+
+def test_metrics_of_constant_labels_and_missing_predictions(spark):
+    from wellspark.operators import evaluate
+
+    df = spark.createDataFrame([(2.0, 1.0), (2.0, 3.0), (2.0, None)], "label double, prediction double")
+    r = evaluate.regression_metrics(df).first()
+    assert (r.rmse, r.mae, r.r2, r.n) == (1.0, 1.0, None, 2)
+    none = spark.createDataFrame([(0, 0.2), (0, 0.7)], "label int, score double")
+    assert {c.recall for c in evaluate.pr_curve(none).collect()} == {None}

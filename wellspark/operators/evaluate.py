@@ -20,10 +20,12 @@ from wellspark.operators.windows import cumulative_sums
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Errors over the rows that have both numbers; r2 is null where the label
+    is constant, all are null without such rows."""
     e = F.col(label) - F.col(prediction)
+    spread = F.var_pop(F.when(e.isNotNull(), F.col(label))) * F.count(e)
     return df.agg(F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
-                  (1 - F.sum(e * e) / (F.var_pop(label) * F.count(F.lit(1)))).alias("r2"),
-                  F.count(F.lit(1)).alias("n"))
+                  (1 - F.try_divide(F.sum(e * e), spread)).alias("r2"), F.count(e).alias("n"))
 
 
 def residual_table(df: DataFrame, id_col: str, label: str = "label", prediction: str = "prediction"):
@@ -108,15 +110,15 @@ def fbeta(df: DataFrame, beta: float = 2.0, label: str = "label", prediction: st
 
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Precision and recall when predicting positive for score >= threshold,
-    at every distinct score."""
+    at every distinct score; recall is null without positives."""
     by_score = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(label).cast("bigint")).alias("pos"),
         F.sum((1 - F.col(label)).cast("bigint")).alias("neg"))
     cum = cumulative_sums(by_score, ["threshold"], ["pos", "neg"], descending=True)
     total_pos = df.agg(F.sum(F.col(label).cast("bigint"))).scalar()
     return cum.select("threshold", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                      (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-                      (F.col("cum_pos") / total_pos).alias("recall"))
+                      F.try_divide(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
+                      F.try_divide(F.col("cum_pos"), total_pos).alias("recall"))
 
 
 def best_threshold(curve: DataFrame, beta: float = 2.0) -> DataFrame:

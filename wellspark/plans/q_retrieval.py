@@ -26,8 +26,9 @@ def q_chunk_text(spark, sf):
 
 
 def _chunks(spark, sf):
+    # a position is below 2**30, so ids up to 9e9 give distinct chunk ids
     c = RT.chunk_stride(table(spark, sf, "documents"), "doc_id", "text", 500, 50)
-    return c.select((F.col("doc_id") * 1000000 + F.col("pos")).alias("chunk_id"), "chunk")
+    return c.select((F.col("doc_id") * 1000000000 + F.col("pos")).alias("chunk_id"), "chunk")
 
 
 def _vec_sql(src: str, id_col: str, text_col: str) -> str:
@@ -40,7 +41,7 @@ def _vec_sql(src: str, id_col: str, text_col: str) -> str:
     GROUP BY 1, 2) GROUP BY id))"""
 
 
-_CH = f"(SELECT doc_id * 1000000 + pos AS chunk_id, chunk FROM ({_CHUNK_SQL}))"
+_CH = f"(SELECT doc_id * 1000000000 + pos AS chunk_id, chunk FROM ({_CHUNK_SQL}))"
 _TOP10 = f"""(SELECT qid, chunk_id FROM (
   SELECT q.id AS qid, c.id AS chunk_id,
     row_number() OVER (PARTITION BY q.id ORDER BY list_distance(q.v, c.v), c.id) AS rk

@@ -25,7 +25,8 @@ S = "streaming"
 def _stage(spark, sf, files=4):
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
     ev = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
-    ev.repartition(files).write.parquet(f"{base}/in")
+    # several files for several micro-batches; as many tasks as the input has
+    ev.repartition(max(files, ev.rdd.getNumPartitions())).write.parquet(f"{base}/in")
     return base, ev
 
 
