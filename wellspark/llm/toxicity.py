@@ -14,7 +14,8 @@ labelled rows; the other classes are short fixed lists.
 
 Defined results: a null or empty text, and one without matched clause, has the
 curve's lowest score; columns other than the id and the text are ignored;
-repeated rows give repeated results; without labels the lexicon is empty.
+repeated rows give repeated results; without sampled labels of both classes no
+text is toxic.
 """
 
 from __future__ import annotations
@@ -228,6 +229,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", k: int = 5, r:
     finally:
         rows.unpersist()
     scorer = Scorer(Lexicon(words, stems))
+    if rest["y"].nunique() < 2:  # nothing says what is toxic
+        return Model(words, stems, (0.0, 0.0, 0.0, -35.0))
     x = np.array([scorer.features(t) for t in rest["text"]]).reshape(-1, 3)
     return Model(words, stems, tuple(map(float, fit_logistic(x, rest["y"], rest["weight"], l2=1e-4))))
 
