@@ -88,7 +88,7 @@ def vector_links(rows, threshold):
     unit = {}
     for i, v in rows:
         if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            a = np.array(v, float)
+            a = np.array(v, float) / max(map(abs, v))
             unit[i] = a / np.linalg.norm(a)
     parent, n = {i: i for i, _ in rows}, Counter()
     ids = sorted(unit)
