@@ -78,14 +78,15 @@ class ZScore:
 # ------------------------------------------------------------------ one-hot
 
 def fit_categories(train: DataFrame, cols: list[str]) -> dict:
-    """Sorted distinct non-null values per column, in one aggregate."""
-    row = train.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in cols]).first()
+    """Sorted distinct non-null values per column.  The distinct values meet in
+    a shuffle; at most one more than ``MAX_CATEGORIES`` of them is read back, so
+    a column with too many is refused before it can fill a task or the driver."""
     out = {}
     for c in cols:
-        vals = list(row[c] or [])
-        if len(vals) > MAX_CATEGORIES:
-            raise ValueError(f"{c}: {len(vals)} categories exceed {MAX_CATEGORIES}")
-        out[c] = vals
+        found = train.select(F.col(c).alias("v")).where("v IS NOT NULL").distinct().limit(MAX_CATEGORIES + 1).collect()
+        if len(found) > MAX_CATEGORIES:
+            raise ValueError(f"{c}: more than {MAX_CATEGORIES} categories")
+        out[c] = sorted(r.v for r in found)
     return out
 
 
