@@ -47,10 +47,10 @@ def persona_table(spark):
 
 
 def join_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str = "cluster") -> DataFrame:
-    """Attach the descriptive fields of a small lookup table (broadcast: it
-    has one row per cluster id); unknown ids get the default texts."""
+    """Attach the descriptive fields of a lookup table; unknown ids get the
+    default texts.  The planner broadcasts the table only if its size allows."""
     cols = [c for c in lookup.columns if c != lookup_key]
-    j = df.join(F.broadcast(lookup.withColumnRenamed(lookup_key, "_k")), F.col(key) == F.col("_k"), "left")
+    j = df.join(lookup.withColumnRenamed(lookup_key, "_k"), F.col(key) == F.col("_k"), "left")
     return j.withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in zip(cols, UNKNOWN_PERSONA)}).drop("_k")
 
 
