@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wellspark.llm import quotes
-from wellspark.llm.common import held_out
+from wellspark.llm.common import held_out, text_batches
 from wellspark.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -81,16 +81,16 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
-    "op1_language": op1_language,
-    "op2_minhash": op2_minhash,
-    "op3_quotes": op3_quotes,
-    "op4_secrets": op4_secrets,
-    "op5_quality": op5_quality,
-    "op6_decontaminate": op6_decontaminate,
-    "op7_repeats": op7_repeats,
-    "op8_toxicity": op8_toxicity,
-    "op9_bpe": op9_bpe,
-    "op10_embeddings": op10_embeddings,
+    "op1_language": text_batches(op1_language),
+    "op2_minhash": text_batches(op2_minhash),
+    "op3_quotes": text_batches(op3_quotes),
+    "op4_secrets": text_batches(op4_secrets),
+    "op5_quality": text_batches(op5_quality),
+    "op6_decontaminate": text_batches(op6_decontaminate),
+    "op7_repeats": text_batches(op7_repeats),
+    "op8_toxicity": text_batches(op8_toxicity),
+    "op9_bpe": text_batches(op9_bpe),
+    "op10_embeddings": text_batches(op10_embeddings),
 }
 
 _SHINGLES = r"""

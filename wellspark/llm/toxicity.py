@@ -107,7 +107,7 @@ class Lexicon:
             for n in STEMS:
                 w = max(w, self.stems.get(word[:n], 0.0) if len(word) >= n else 0.0)
             got = ("I", w) if w > 0 else (FIXED.get(word, "o"), 1.0)
-            if len(self.seen) >= 300_000:
+            if len(self.seen) >= 100_000:
                 self.seen.clear()
             self.seen[word] = got
         return got
