@@ -248,6 +248,35 @@ def test_embeddings_recall_on_the_table(spark):
     assert sum(g[0] for g in got.values()) >= 0.9 * sum(w[0] for w in want.values())
 
 
+@pytest.mark.parametrize("width, k", [(64, 60), (384, 30)])
+def test_embeddings_recall_on_unseen_vectors(spark, monkeypatch, width, k):
+    """Links of vectors the codebooks have not seen, on a grid as fine for its
+    sample as a large table's: every link counts that either side visits."""
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    x = unit(rng.normal(size=(8 * k, width)))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "id long, v array<double>, c long")
+    monkeypatch.setattr(embeddings, "CELL_ROWS", len(x) / k ** 2)
+    monkeypatch.setattr(embeddings, "PER_CODE", 6, raising=False)
+    monkeypatch.setattr(embeddings, "cost", lambda rows, k, visits: -k, raising=False)  # the finest grid
+    index = embeddings.fit(df, len(x), 0.95, 0.97)
+    a = unit(rng.normal(size=(500, width)))
+    side = rng.normal(size=a.shape)
+    b = 0.95 * a + (1 - 0.95 ** 2) ** 0.5 * unit(side - (side * a).sum(1)[:, None] * a)
+    seen = [embeddings.cells(v, index, index.visits) for v in (a, b)]
+    found = [q[0] in p or p[0] in q for p, q in zip(*seen)]
+    assert len(index.books[0]) == k and np.mean(found) >= 0.9
+
+
+def test_needed_visits_are_places_in_the_traversal():
+    rng = np.random.default_rng(2)
+    x, y, books = rng.normal(size=(30, 8)), rng.normal(size=(30, 8)), tuple(rng.normal(size=(6, 4)) for _ in range(2))
+    index = embeddings.Index(books, 36)
+    p, q = (embeddings.cells(v, index, 36) for v in (x, y))
+    want = [min(a.index(b[0]), b.index(a[0])) + 1 for a, b in zip(p, q)]
+    assert embeddings.needed(x, y, books).tolist() == want
+
+
 # ---------------------------------------------- learned operators (1, 5, 8)
 
 def fold(i, k):

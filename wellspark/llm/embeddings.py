@@ -1,12 +1,15 @@
 """Embedding near-duplicates through an inverted multi-index.
 
 Vectors are normalised in double precision.  Each half of the vector has its own
-codebook (k-means on a bounded, documented sample); the pair of nearest codes
-names a cell of the product grid and every vector is indexed in its cell.  A
-query visits cells in the order of the sum of its two halves' squared distances
-(multi-sequence traversal of the two sorted distance lists); how many cells it
-visits is learned on sampled pairs so that the target recall is reached.
-Candidates are verified by the exact cosine.
+codebook (k-means on a bounded, documented sample that grows with the codes);
+the pair of nearest codes names a cell of the product grid and every vector is
+indexed in its cell.  A query visits cells in the order of the sum of its two
+halves' squared distances (multi-sequence traversal of the two sorted distance
+lists).  How many cells it visits is learned on vectors the codebooks have not
+seen, and raised where the links that a brute force finds between some of these
+and all vectors need more; a grid too fine for the data gives way to a coarser
+one, down to one cell, which compares all.  Candidates are verified by the
+exact cosine.
 
 Equal vectors are one entry with a count.  A cell's entries are dealt into
 blocks of bounded size and its visitors likewise; a task compares one block of
@@ -34,8 +37,12 @@ from pyspark.sql import functions as F
 from wellspark.llm.common import checkpoint
 from wellspark.llm.components import components
 
-# Bounds of the fit (parameters of ``fit``): vectors sampled, k-means passes.
-SAMPLE, PASSES = 8_000, 12
+# Bounds of the fit: vectors sampled for the codebooks (at least ``PER_CODE`` a
+# code, at most ``SAMPLE_VALUES`` numbers on the driver), k-means passes, unseen
+# vectors for the visits, and those of them compared with every vector.
+SAMPLE, PER_CODE, SAMPLE_VALUES, PASSES = 8_000, 32, 4_000_000, 12
+HELD, QUERIES = 1_000, 256
+VISIT = 500  # comparisons that cost as much as one more copy of a vector
 CELL_ROWS = 40  # entries per used cell aimed at when choosing the grid
 BLOCK = 512  # entries of a cell, or its visitors, in one task's block
 MARGIN = 1e-9  # the threshold is decided in double precision
@@ -64,7 +71,7 @@ def distances(x: np.ndarray, book: np.ndarray) -> np.ndarray:
 
 
 def nearest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
-    return distances(x, book).argmin(axis=1)
+    return np.concatenate([distances(x[lo:lo + 4096], book).argmin(axis=1) for lo in range(0, max(1, len(x)), 4096)])
 
 
 def traverse(da: np.ndarray, db: np.ndarray, visits: int) -> list[int]:
@@ -93,26 +100,95 @@ def cells(x: np.ndarray, index: Index, visits: int) -> list[list[int]]:
     return [traverse(p, q, visits) for p, q in zip(distances(a, index.books[0]), distances(b, index.books[1]))]
 
 
-def fit(vectors: DataFrame, rows: int, threshold: float, recall: float, sample: int = SAMPLE) -> Index:
-    """Codebooks from the sampled vectors with the smallest hashes; the visits
-    are the fewest that find ``recall`` of the links between rotated sample
-    vectors at the threshold, the hardest links there are."""
-    got = vectors.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(sample).toPandas()
-    x = np.array(got["v"].tolist(), float)
-    k = int(np.clip(round((rows / CELL_ROWS) ** 0.5), 1, max(1, len(x) // 8)))
-    books = tuple(kmeans(h, k, PASSES, 5 + i) for i, h in enumerate(halves(x)))
-    rng = np.random.default_rng(9)
-    some = x[rng.choice(len(x), size=min(400, len(x)), replace=False)]
-    side = rng.normal(size=some.shape)
+def needed(x: np.ndarray, y: np.ndarray, books: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Visits that let ``x[r]`` and ``y[r]`` meet: the place of the one's cell in
+    the other's order of all cells, of either side the smaller."""
+    dx, dy = ([distances(h, b) for h, b in zip(halves(v), books)] for v in (x, y))
+
+    def place(near, far):
+        own = [d.argmin(axis=1) for d in far]
+        out = np.empty(len(near[0]), "int64")
+        for r, (da, db) in enumerate(zip(*near)):
+            s = da[own[0][r]] + db[own[1][r]]
+            out[r] = np.searchsorted(np.sort(db), s * (1 + 1e-12) + 1e-12 - da, side="right").sum()
+        return out
+
+    return np.maximum(np.minimum(place(dx, dy), place(dy, dx)), 1)
+
+
+def visits_for(ranks: np.ndarray, weights: np.ndarray, recall: float) -> int:
+    """The fewest visits that find ``recall`` of the links."""
+    order = np.argsort(ranks, kind="stable")
+    found = np.cumsum(weights[order])
+    return int(ranks[order][np.searchsorted(found, recall * found[-1] * (1 - 1e-12))])
+
+
+def cost(rows: int, k: int, visits: int) -> float:
+    """Comparisons a vector, its copies among them: blocks of a cell's entries
+    meet all blocks of its visitors."""
+    own = rows / (k * k)
+    return VISIT * (np.ceil(visits * own / BLOCK) + visits * np.ceil(own / BLOCK)) + visits * own
+
+
+def at_threshold(some: np.ndarray, threshold: float) -> np.ndarray:
+    """Rotated vectors at the threshold, the hardest links there are."""
+    side = np.random.default_rng(9).normal(size=some.shape)
     side -= (side * some).sum(1)[:, None] * some
     norm = np.linalg.norm(side, axis=1)[:, None]
-    other = threshold * some + (1 - threshold ** 2) ** 0.5 * side / np.where(norm > 0, norm, 1)
-    index = Index(books, 1)
-    home = [c[0] for c in cells(other, index, 1)]
-    most = min(len(books[0]) * len(books[1]), 4096)
-    rank = sorted(c.index(h) if h in c else most for h, c in zip(home, cells(some, index, most)))
-    need = rank[min(len(rank) - 1, int(np.ceil(recall * len(rank))) - 1)] + 1
-    return Index(books, int(min(need, most)))
+    return threshold * some + (1 - threshold ** 2) ** 0.5 * side / np.where(norm > 0, norm, 1)
+
+
+def _links_of(queries: np.ndarray, counts: np.ndarray, books: tuple[np.ndarray, np.ndarray], threshold: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Links of the queries by visits needed: how many, and how many rows' pairs."""
+        for b in batches:
+            for lo in range(0, len(b), 2000):
+                part = b.iloc[lo:lo + 2000]
+                x = np.array(part["v"].tolist(), float)
+                cos = x @ queries.T
+                i, j = np.nonzero((cos >= threshold) & (cos < 1 - 1e-12))
+                if len(i):
+                    places = np.concatenate([needed(x[i[at:at + 2000]], queries[j[at:at + 2000]], books)
+                                             for at in range(0, len(i), 2000)])
+                    rank, at = np.unique(places, return_inverse=True)
+                    yield pd.DataFrame({"rank": rank, "n": np.bincount(at).astype(float),
+                                        "m": np.bincount(at, part["c"].to_numpy()[i] * counts[j])})
+    return run
+
+
+def fit(vectors: DataFrame, rows: int, threshold: float, recall: float, sample: int = SAMPLE) -> Index:
+    """Codebooks and visits for the distinct vectors (id, v, c).  The sample has
+    the vectors of the smallest hashes; its first part is held out of the
+    codebooks.  The visits are the fewest that find ``recall`` of the links
+    between held-out vectors and rotations of them at the threshold, and of the
+    links that brute force finds between held-out vectors and all vectors."""
+    k = int(max(1, round((rows / CELL_ROWS) ** 0.5)))
+    width = len(vectors.select("v").first()["v"])
+    want = HELD + min(max(sample, PER_CODE * k), max(PER_CODE, SAMPLE_VALUES // width))
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
+    got = (vectors.select("id", "v", "c", share.alias("h")).where(F.col("h") <= int((1 << 30) * min(1.0, want / rows)))
+           .toPandas().sort_values(["h", "id"]))  # about ``want`` rows
+    x = np.array(got["v"].tolist(), float)
+    held = min(HELD, len(x) // 5)
+    unseen, x = x[:held], x[held:]
+    k = min(k, len(x) // PER_CODE)
+    if k < 2 or not held:
+        return Index(tuple(h[:1] for h in halves(np.zeros((1, width)))), 1)  # one cell: all pairs
+    other, best = at_threshold(unseen, threshold), None
+    while k:
+        books = tuple(kmeans(h, k, PASSES, 5 + i) for i, h in enumerate(halves(x)))
+        visits = visits_for(needed(unseen, other, books), np.ones(held), recall)
+        price = cost(rows, k, visits)
+        if best is None or price < best[0]:
+            best = price, books, visits
+        k //= 2
+    _, books, visits = best
+    hits = vectors.select("v", "c").mapInPandas(
+        _links_of(unseen[:QUERIES], got["c"].to_numpy()[:held][:QUERIES].astype(float), books, threshold),
+        "rank long, n double, m double").groupBy("rank").agg(F.sum("n").alias("n"), F.sum("m").alias("m")).toPandas()
+    for weight in ("n", "m") if len(hits) else ():
+        visits = max(visits, visits_for(hits["rank"].to_numpy(), hits[weight].to_numpy(), recall))
+    return Index(books, visits)
 
 
 def forest(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -201,7 +277,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, recall: float = 0.
     n = classes.count()
     links = label = None
     if n:
-        index = fit(classes.select(F.col("k").alias("id"), "v"), n, threshold, recall, sample)
+        index = fit(classes.select(F.col("k").alias("id"), "v", "c"), n, threshold, recall, sample)
         hits = linked(classes.select(F.col("k").alias("id"), "v", "c"), index, threshold)
         links = hits.where("NOT edge").groupBy(F.col("id").alias("k")).agg(F.sum("links").alias("links"))
         label = components(hits.where("edge").select(F.col("other").alias("a"), F.col("id").alias("b")))
