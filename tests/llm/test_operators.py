@@ -172,6 +172,15 @@ def test_battery_tells_random_from_ordinary(spark):
     assert sum(got[1000 + i] for i in range(len(ordinary))) == 0
 
 
+@pytest.mark.parametrize("before, after", [("AWS_SECRET_ACCESS_KEY=", "\n"), ("https://x.org/get?user=7&sig=", "&n=1"), ("key==", "==")])
+def test_runs_after_an_equals_sign_are_candidates(spark, before, after):
+    key = "Zk3fT9aQ1pLm8vXw2RyB7cNd0"
+    docs = odd_docs(spark, [(1, f"x {before}{key}{after} y")])
+    at = 2 + len(before)
+    assert [(r.s, r.e) for r in secrets.scan(docs).first().random] == [(at, at + len(key))]
+    assert secrets.redact(docs).first().text == f"x {before}[SECRET]{after} y"
+
+
 def test_redaction_replaces_every_span(spark):
     docs = spark.createDataFrame([(1, "é password=hunter22 and token=" + "0f" * 15 + "!", "k", 7), (2, "clean", "k", 5), (3, None, None, None)],
                                  "doc_id long, text string, kept string, n_chars long")

@@ -30,7 +30,7 @@ from wellspark.llm.common import checkpoint
 # of the group that decides.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 BASE = [("assign", ASSIGN, 2, 6), ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]{24,}", 0, 24)]
-KEY_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])"
+KEY_RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])"
 # name, test, alphabet; the first that fits is the encoding
 ENCODINGS = [
     ("hex", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$|^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", "0123456789abcdef"),
