@@ -16,7 +16,8 @@ DataFrame functions only: one pass over the texts, a bounded table of counts by
 
 Defined results: a null text is empty and has no spans; positions count code
 points, ends are exclusive; repeated rows give repeated results; other columns
-are ignored; a run overlapping a base span is not reported twice.
+are ignored; a run that base spans cover whole is not reported twice, one that
+they cover in part is a run like any other, and its span may overlap theirs.
 """
 
 from __future__ import annotations
@@ -141,6 +142,12 @@ def named(found: Column, order: int, kind: str) -> Column:
         r["s"].alias("s"), F.lit(order).alias("o"), r["e"].alias("e"), F.lit(kind).alias("kind")))
 
 
+def covered(run: Column, base: Column) -> Column:
+    """True where the spans, in order of their starts, leave no part of the run."""
+    return F.aggregate(base, run["s"], lambda at, b: F.when(
+        b["s"] <= at, F.greatest(at, b["e"])).otherwise(at)) >= run["e"]
+
+
 RUNS = "array<struct<s:int,e:int,k:int,len:int,p:double>>"
 
 
@@ -149,7 +156,7 @@ def _found(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     src = docs.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = [named(find(F.col("text"), pattern, group, least), i, kind)
             for i, (kind, pattern, group, least) in enumerate(BASE)]
-    runs = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["s"] < r["e"]) & (r["s"] < b["e"])))
+    runs = F.filter("runs", lambda r: ~covered(r, F.col("base")))
     return (src.withColumn("base", F.array_sort(F.concat(*base))).withColumn("runs", find(F.col("text"), KEY_RUN))
             .withColumn("runs", runs).withColumn("runs", F.when(F.size("runs") > 0, tested(F.col("runs"))))
             .withColumn("runs", F.coalesce("runs", F.array().cast(RUNS))))
