@@ -330,3 +330,14 @@ def test_metrics_of_constant_labels_and_missing_predictions(spark):
     assert (r.rmse, r.mae, r.r2, r.n) == (1.0, 1.0, None, 2)
     none = spark.createDataFrame([(0, 0.2), (0, 0.7)], "label int, score double")
     assert {c.recall for c in evaluate.pr_curve(none).collect()} == {None}
+
+
+def test_score_text_uses_bigrams_and_lemmas(spark, tmp_path):
+    from wellspark.plans.q_models import q_score_text
+    # both classes have the same words; only their order tells them apart
+    texts = {"aa": "red dogs blue cat dog", "bb": "blue dogs red cat dog"}
+    rows = [(i, texts[lang], lang) for i in range(60) for lang in (("aa", "bb")[i % 2],)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = q_score_text(spark, str(tmp_path)).collect()
+    assert got and all(r.predicted == ("aa", "bb")[r.doc_id % 2] for r in got)
+    assert {r.text_clean for r in got} == {"red dog blue cat dog", "blue dog red cat dog"}

@@ -303,18 +303,23 @@ def q_score_cluster(spark, sf):
 
 @register("score_text", S)
 def q_score_text(spark, sf):
-    from wellspark.functions.text import clean_text, word_tokens
+    from pyspark.ml.feature import CountVectorizerModel
+    from wellspark.functions.text import clean_tokens, ngrams, word_tokens
     from wellspark.operators.score import score_classes
-    from wellspark.operators.textfeat import count_vectorize
-    d = table(spark, sf, "documents").select("doc_id", "lang", "text", split_col("doc_id").alias("split"))
-    d = d.withColumn("text_clean", clean_text(F.col("text")))
-    vec, _vocab = count_vectorize(d.where("split = 'train'"), word_tokens(F.col("text_clean")), 2000, (1, 1))
+    from wellspark.operators.textfeat import count_vectorize, lemmatize
+    d = table(spark, sf, "documents").select("doc_id", "lang", split_col("doc_id").alias("split"),
+                                             clean_tokens(F.col("text")).alias("tokens"))
+    # lemmas by the TRAIN words, for both parts
+    words = d.where("split = 'train'").select(F.explode("tokens").alias("word"))
+    d = lemmatize(d, "doc_id", "tokens", words).select(
+        "doc_id", "lang", "split", F.when(F.col("tokens").isNotNull(), F.array_join("lemmas", " ")).alias("text_clean"))
+    d = d.withColumn("_tok", word_tokens(F.col("text_clean"))).persist()
+    vec, _vocab = count_vectorize(d.where("split = 'train'"), F.col("_tok"))
     idx = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(vec)
     model = LogisticRegression(maxIter=100, family="multinomial").fit(idx.transform(vec))
     # score the test rows with the TRAIN vocabulary
-    from pyspark.ml.feature import CountVectorizerModel
     terms = [r.term for r in _vocab.orderBy("index").collect()]
-    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="_tok", outputCol="features")
-    test = cv.transform(d.where("split = 'test'").withColumn("_tok", word_tokens(F.col("text_clean"))))
+    cv = CountVectorizerModel.from_vocabulary(terms, inputCol="_grams", outputCol="features")
+    test = cv.transform(d.where("split = 'test'").withColumn("_grams", F.concat("_tok", ngrams(F.col("_tok"), 2))))
     out = score_classes(model, test, list(idx.labels), "doc_id")
     return out.join(d.select("doc_id", "text_clean"), "doc_id")
