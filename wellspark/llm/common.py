@@ -27,6 +27,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a written intermediate that no later job reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Deal rows by ``cols`` into the session's shuffle partitions."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

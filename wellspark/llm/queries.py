@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellspark.llm import quotes
+from wellspark.llm import collocations, quotes
 from wellspark.llm.common import held_out, text_batches
 from wellspark.sources.tables import table
 
@@ -80,6 +80,16 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import runs
+
+    return runs.digest(runs.find_runs(runs.echoed(table(spark, sf_dir, "documents"))))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_language": text_batches(op1_language),
     "op2_minhash": text_batches(op2_minhash),
@@ -91,6 +101,8 @@ QUERIES: dict[str, QueryFn] = {
     "op8_toxicity": text_batches(op8_toxicity),
     "op9_bpe": text_batches(op9_bpe),
     "op10_embeddings": text_batches(op10_embeddings),
+    "op11_runs": text_batches(op11_runs),
+    "op12_collocations": text_batches(op12_collocations),
 }
 
 _SHINGLES = r"""
@@ -103,6 +115,7 @@ _SHINGLES = r"""
 
 SQL: dict[str, str] = {
     "op3_quotes": quotes.SQL,
+    "op12_collocations": collocations.SQL,
     "op6_decontaminate": f"""
         WITH d AS ({_SHINGLES.format(id="doc_id", n=5, table="documents", lowered="lower(text)")}),
              b AS ({_SHINGLES.format(id="item_id", n=5, table="benchmark", lowered="lower(text)")}),
