@@ -90,6 +90,12 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from wellspark.llm import hnsw
+
+    return hnsw.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_language": text_batches(op1_language),
     "op2_minhash": text_batches(op2_minhash),
@@ -103,6 +109,7 @@ QUERIES: dict[str, QueryFn] = {
     "op10_embeddings": text_batches(op10_embeddings),
     "op11_runs": text_batches(op11_runs),
     "op12_collocations": text_batches(op12_collocations),
+    "op13_neighbours": text_batches(op13_neighbours),
 }
 
 _SHINGLES = r"""
