@@ -51,6 +51,7 @@ STEP = 4  # places of a search expanded together, or a 32nd of those kept
 BLOCK = 256  # searches side by side
 QUERIES = 4_096  # in a task
 FIRST = 128  # nodes linked by comparing all of them
+TASKS = 20_000  # at most, for shards or for blocks of queries
 MERGE = 64  # shards merged in the first step
 
 
@@ -312,14 +313,18 @@ def neighbours(rows: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     size = size.select("width", F.ceil(F.col("n") / per).cast("int").alias("shards"),
                        F.ceil(F.col("nq") / QUERIES).cast("int").alias("blocks"))
     dealt = items.join(size, "width").withColumn("shard", F.pmod(F.xxhash64("id"), F.col("shards")).cast("int"))
-    (dealt.select("width", "shard", "id", "v").groupBy("width", "shard").applyInPandas(_build(k + 1), GRAPH)
-     .write.parquet(f"{base}/graphs"))
+    # little data but much work: as many tasks as groups, whatever their bytes
+    groups = size.agg(F.sum("shards").alias("build"), F.sum(F.col("shards").cast("long") * F.col("blocks")).alias("search")).first()
+    n_build, n_search = (max(1, min(TASKS, 2 * (n or 0))) for n in groups)
+    (dealt.select("width", "shard", "id", "v").repartition(n_build, "width", "shard").groupBy("width", "shard")
+     .applyInPandas(_build(k + 1), GRAPH).write.parquet(f"{base}/graphs"))
     count = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     graphs = spark.read.parquet(f"{base}/graphs").join(size.where("blocks > 0"), "width").withColumn("block", count("blocks"))
     queries = (items.where(F.col("id") % every == 0).join(size, "width")
                .withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int")).withColumn("shard", count("shards")))
     key = ["width", "shard", "block"]
-    found = (graphs.drop("shards", "blocks").groupBy(*key).cogroup(queries.select(*key, "id", "v").groupBy(*key))
+    found = (graphs.drop("shards", "blocks").repartition(n_search, *key).groupBy(*key)
+             .cogroup(queries.select(*key, "id", "v").repartition(n_search, *key).groupBy(*key))
              .applyInPandas(_search(k, recall), "query_id long, part int, vec_id long, score double"))
     order = [F.desc("score"), F.asc("vec_id")]
     found = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "part").orderBy(*order))).where(F.col("rank") <= k)
