@@ -21,10 +21,23 @@ def held_out(id_col: str, k: int, r: int) -> Column:
     return F.coalesce(fold(id_col, k) == r, F.lit(True))
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Written once to the shared folder named by ``spark.checkpoint.dir``."""
+    """Written once to the shared folder named by ``spark.checkpoint.dir``.
+
+    The shuffle files behind it go at once, as nothing reads them again: an
+    iterative job would else keep those of all its rounds until the driver
+    happens to collect garbage."""
+    conf = df.sparkSession.conf
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    before = conf.get(CLEAN)
+    conf.set(CLEAN, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        conf.set(CLEAN, before)
 
 
 def drop_table(spark: SparkSession, path: str) -> None:
