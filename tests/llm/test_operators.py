@@ -248,12 +248,14 @@ def test_embeddings_equal_brute_force(spark):
     v = [x.tolist() for x in base] + [(x + rng.normal(size=16) * 0.12).tolist() for x in base[:80] for _ in range(2)]
     v += [base[0].tolist()] * 30 + [(base[1] * 5).tolist()] * 3 + [None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [None] + [1.0] * 15,
                                                                   [1.0, 2.0], [float("inf")] * 16, [1e-200] * 16, [1e200] * 16]
+    v += [[3.0, 1.0, 2.0]] * 5 + [[6.0, 2.0, 4.01]] + [[x] for x in (1.0, 2.0, -1.0)]  # rarer lengths link among themselves
     data = list(enumerate(v))
     df = spark.createDataFrame([(i, x, "a", 3) for i, x in data], "vec_id long, embedding array<double>, k string, home int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df, 0.95, recall=0.999).collect()}
-    want = brute.vector_links([(i, x if x is None or len(x) != 2 else None) for i, x in data], 0.95)
+    want = brute.vector_links(data, 0.95)
     close = sum(got[i] == want[i] for i in want) / len(want)
     assert close >= 0.97 and all(got[i][0] <= want[i][0] for i in want)
+    assert all(got[i] == want[i] for i, x in data if x is not None and len(x) in (1, 2, 3))
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 

@@ -17,10 +17,10 @@ visitors with one block of entries, so a hot cell becomes many tasks and no
 pair of a group is written out: a task returns counts of links per vector and
 the edges of a spanning forest of the links it saw.
 
-Defined results: vectors that are null, zero, of another length than the most
-common one, or with null or non-finite components link with nothing, as do rows
-with a null id; rows with the same id are separate vectors; other columns are
-ignored.
+Defined results: vectors that are null, zero or with null or non-finite
+components link with nothing, as do rows with a null id; vectors of different
+lengths link with nothing of the other, every length has an index of its own;
+rows with the same id are separate vectors; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -222,7 +222,7 @@ def _place(index: Index):
 
 
 def _compare(threshold: float):
-    def run(key, b: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, b: pd.DataFrame) -> pd.DataFrame:
         """One block of visitors against one block of entries of one cell."""
         cell = int(key[0])
         own, guest = b[b["entry"]], b[~b["entry"]]
@@ -266,19 +266,19 @@ def unit_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def near_duplicates(rows: DataFrame, threshold: float = 0.95, recall: float = 0.97, id_col: str = "vec_id",
                     vector_col: str = "embedding", sample: int = SAMPLE) -> DataFrame:
     """One row per vector: the id, ``n_links``, ``component_id`` and ``kept``."""
-    unit = unit_vectors(rows, id_col, vector_col)
-    width = (unit.where("v IS NOT NULL").groupBy(F.size("v").alias("w")).agg(F.count("*").alias("n"))
-             .orderBy(F.desc("n"), "w").first())
-    keyed = unit.withColumn("v", F.when(F.size("v") == F.lit(width["w"] if width else 0), F.col("v")))
-    keyed = keyed.select("id", "v", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("k"),
-                         F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v")).alias("k2"))
+    keyed = unit_vectors(rows, id_col, vector_col).select(
+        "id", "v", F.when(F.col("v").isNotNull(), F.xxhash64("v")).alias("k"),
+        F.when(F.col("v").isNotNull(), F.xxhash64(F.lit(1), "v")).alias("k2"))
     classes = checkpoint(keyed.where("v IS NOT NULL").groupBy("k", "k2").agg(
         F.any_value("v").alias("v"), F.min("id").alias("rep"), F.count("*").alias("c")))
-    n = classes.count()
-    links = label = None
-    if n:
-        index = fit(classes.select(F.col("k").alias("id"), "v", "c"), n, threshold, recall, sample)
-        hits = linked(classes.select(F.col("k").alias("id"), "v", "c"), index, threshold)
+    # an index of its own for every length of vectors: a row for each length
+    sizes = classes.groupBy(F.size("v").alias("w")).agg(F.count("*").alias("n")).orderBy("w").collect()
+    hits = None
+    for s in sizes:
+        own = classes.where(F.size("v") == s["w"]).select(F.col("k").alias("id"), "v", "c")
+        found = linked(own, fit(own, s["n"], threshold, recall, sample), threshold)
+        hits = found if hits is None else hits.unionByName(found)
+    if hits is not None:
         links = hits.where("NOT edge").groupBy(F.col("id").alias("k")).agg(F.sum("links").alias("links"))
         label = components(hits.where("edge").select(F.col("other").alias("a"), F.col("id").alias("b")))
         classes = (classes.select("k", "k2", "rep", "c").join(links, "k", "left")
