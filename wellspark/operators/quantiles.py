@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+TARGETS = 10_000  # of a pass, each about 100 bytes; more are taken in turn
+
+
 def _long(df: DataFrame, cols: list[str], group: str | None) -> DataFrame:
     """(g, column index, x) rows; the column travels as a small int."""
     gcol = F.col(group).cast("string") if group else F.lit("")
@@ -60,8 +63,9 @@ def _scaled(x):
 
 
 def _narrowed(long_df: DataFrame, ranges: DataFrame, buckets: int) -> DataFrame:
-    """One row per target: the bin holding the rank, and the rows before it."""
-    near = long_df.join(ranges, ["g", "column"]).where(F.col("x").between(F.col("lo"), F.col("hi")))
+    """One row per target: the bin holding the rank, and the rows before it.
+    ``ranges`` has at most ``TARGETS`` rows, so the values never move to meet it."""
+    near = long_df.join(F.broadcast(ranges), ["g", "column"]).where(F.col("x").between(F.col("lo"), F.col("hi")))
     low, high = _scaled(F.col("lo")), _scaled(F.col("hi"))
     part = F.when(F.col("x") == F.col("hi"), 1.0).when(F.col("x") == F.col("lo"), 0.0).otherwise(
         F.coalesce(F.try_divide(_scaled(F.col("x")) - low, high - low), F.lit(0.0)))
@@ -103,7 +107,8 @@ def order_statistics(df: DataFrame, cols: list[str], ranks_fn, group: str | None
                 targets[len(targets)] = dict(g=r.g, column=r.column, key=(r.g, name, rank), rank=at, lo=r.lo, hi=r.hi, uneven=False)
     values = long_df.where(F.abs("x") < inf)
     while targets:
-        ranges = spark.createDataFrame([_range(i, t) for i, t in targets.items()], _RANGES)
+        block = list(targets.items())[:TARGETS]
+        ranges = spark.createDataFrame([_range(i, t) for i, t in block], _RANGES)
         for h in _narrowed(values, ranges, buckets).collect():
             t = targets[h.tid]
             at = t["rank"] - h.before

@@ -11,14 +11,16 @@ from pyspark.ml.evaluation import (MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from wellspark.operators import evaluate as EV
 from wellspark.operators import models as M
+from wellspark.operators import requests as RQ
 from wellspark.operators import tune as TU
 from wellspark.operators.encode import assemble_vector
 from wellspark.operators.split import stratified_folds
+from wellspark.plans import fixtures as FX
 from wellspark.plans.fixtures import split_col
 from wellspark.plans.registry import register
 from wellspark.sources.tables import table
@@ -243,54 +245,69 @@ def q_column_stages(spark, sf):
 
 # ------------------------------------------------------------------ scoring
 
+def _requests(raw, numbers, choices, keys, **targets):
+    """Learned on the training part, applied to the raw rows of the other."""
+    model = RQ.fit_requests(raw.where("split = 'train'"), numbers, choices, **targets)
+    return RQ.score_requests(model, raw.where("split = 'test'"), keys)
+
+
 @register("score_class_mwb", S)
 def q_score_class_mwb(spark, sf):
-    from wellspark.operators.score import score_classes
-    train, test = _split(emb_frame(spark, sf))
-    model = M.fit_logreg(train, C=1.0, max_iter=500)
-    labels = [str(i) for i in range(10)]
-    return score_classes(model, test, labels, "vec_id")
+    return _requests(FX.usage_requests(spark, sf), FX.USAGE_NUMBERS, FX.USAGE_CHOICES, ["l_orderkey", "l_linenumber"], class_col="level",
+                     classifier=LogisticRegression(maxIter=5000, family="multinomial"))[0]
 
 
 @register("score_value_mwb", S)
 def q_score_value_mwb(spark, sf):
-    train, test = _split(reg_frame(spark, sf))
-    model = M.fit_gbt_regressor(train, max_iter=10, depth=4)
-    return model.transform(test).select("l_orderkey", "l_linenumber", F.round("prediction", 2).alias("score"))
-
-
-def _two_model_job(spark, sf, key, frame, score_col):
-    """Class and score of the same rows: the two fitted models are applied
-    one after the other (no join back, so duplicate keys stay intact)."""
-    from pyspark.ml.functions import vector_to_array
-    train, test = _split(frame)
-    clf = LogisticRegression(maxIter=200, family="multinomial").fit(train)
-    reg = LinearRegression(labelCol=score_col, maxIter=100, predictionCol="score_raw").fit(train)
-    labels = [str(x) for x in sorted({r[0] for r in train.select("label").distinct().collect()})]
-    names = F.array(*[F.lit(x) for x in labels])
-    both = reg.transform(clf.transform(test))
-    return both.select(key, F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted"),
-                       F.map_from_arrays(names, F.transform(vector_to_array("probability"),
-                                                            lambda p: F.round(p, 4))).alias("probs"),
-                       F.round("score_raw", 2).alias("score"))
+    return _requests(FX.usage_requests(spark, sf), FX.USAGE_NUMBERS, FX.USAGE_CHOICES, ["l_orderkey", "l_linenumber"], value_col="wellbeing",
+                     regressor=GBTRegressor(maxIter=20, maxDepth=4, seed=42))[0]
+
+
+def _health(spark, sf, level, score):
+    return _requests(FX.health_requests(spark, sf), FX.HEALTH_NUMBERS, FX.HEALTH_CHOICES, ["o_orderkey"], class_col=level,
+                     classifier=LogisticRegression(maxIter=200, family="multinomial"), value_col=score, regressor=LinearRegression(maxIter=100))
 
 
 @register("score_gad7", S)
 def q_score_gad7(spark, sf):
-    return _two_model_job(spark, sf, "o_orderkey", status_frame(spark, sf), "o_totalprice")
+    return _health(spark, sf, "anxiety_level", "anxiety")[0]
 
 
 @register("score_phq9", S)
 def q_score_phq9(spark, sf):
-    li = table(spark, sf, "lineitem")
-    f = li.select("l_orderkey", "l_linenumber", "l_returnflag",
-                  *[F.col(c).cast("double").alias(f"x_{c}") for c in _REG_COLS],
-                  F.col("l_extendedprice").alias("price"), split_col("l_orderkey").alias("split"))
-    f = assemble_vector(f, [f"x_{c}" for c in _REG_COLS])
-    f = StringIndexer(inputCol="l_returnflag", outputCol="label", stringOrderType="alphabetAsc").fit(
-        f.where("split = 'train'")).transform(f).withColumn("key", F.struct("l_orderkey", "l_linenumber"))
-    out = _two_model_job(spark, sf, "key", f, "price")
-    return out.select("key.l_orderkey", "key.l_linenumber", "predicted", "probs", "score")
+    return _health(spark, sf, "depression_level", "depression")[0]
+
+
+@register("score_rejects", S, f"""
+SELECT o_orderkey, reason AS reject_reason FROM {FX.HEALTH_CHECKED_SQL} c WHERE split = 'test' AND reason <> ''""")
+def q_score_rejects(spark, sf):
+    """The reject table of the health requests: rows with the rules they fail."""
+    raw = FX.health_requests(spark, sf).where("split = 'test'")
+    checked = RQ.Check(numbers=FX.HEALTH_NUMBERS, choices=FX.HEALTH_CHOICES).transform(raw)
+    return checked.where("reject_reason IS NOT NULL").select("o_orderkey", "reject_reason")
+
+
+@register("score_encoded", S, f"""
+WITH g AS (SELECT o_orderkey, split, TRY_CAST(trim(spent) AS DOUBLE) AS spent, TRY_CAST(trim(month) AS DOUBLE) AS month,
+                  nullif(upper(trim(kind)), '') AS kind, upper(trim(status)) AS status FROM {FX.HEALTH_CHECKED_SQL} c WHERE reason = ''),
+f AS (SELECT quantile_disc(spent, 0.5) AS spent FROM g WHERE split = 'train'),
+k AS (SELECT kind FROM g WHERE split = 'train' AND kind IS NOT NULL GROUP BY kind ORDER BY count(*) DESC, kind LIMIT 1),
+i AS (SELECT o_orderkey, split, coalesce(g.spent, f.spent) AS spent, month, coalesce(g.kind, k.kind) AS kind, status FROM g, f, k),
+z AS (SELECT avg(spent) AS ms, stddev_pop(spent) AS ss, avg(month) AS mm, stddev_pop(month) AS sm FROM i WHERE split = 'train')
+SELECT o_orderkey, round((spent - ms) / ss, 6) AS spent, round((month - mm) / sm, 6) AS month,
+       (kind = '2-HIGH')::INT AS kind_high, (kind = '3-MEDIUM')::INT AS kind_medium, (kind = '4-NOT SPECIFIED')::INT AS kind_none,
+       (kind = '5-LOW')::INT AS kind_low, (status = 'O')::INT AS status_o, (status = 'P')::INT AS status_p
+FROM i, z WHERE split = 'test'""")
+def q_score_encoded(spark, sf):
+    """What the model sees of a health request: coerced, imputed, encoded,
+    scaled and aligned columns, learned on the valid training rows."""
+    raw = FX.health_requests(spark, sf)
+    prep = RQ.fit_preparation(raw.where("split = 'train'"), FX.HEALTH_NUMBERS, FX.HEALTH_CHOICES)
+    x = vector_to_array("features")
+    names = ["kind_high", "kind_medium", "kind_none", "kind_low", "status_o", "status_p"]
+    return prep.transform(raw.where("split = 'test'")).where("reject_reason IS NULL").select(
+        "o_orderkey", F.round(x[0], 6).alias("spent"), F.round(x[1], 6).alias("month"),
+        *[x[i].cast("int").alias(n) for i, n in enumerate(names, 2)])
 
 
 @register("score_cluster", S)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wellspark.operators.requests import score_requests
 from wellspark.operators.score import validate
 
 
@@ -58,3 +59,19 @@ def stream_score(stream: DataFrame, rules: dict[str, Column], model, keep_cols:
     if available_now:
         handle.awaitTermination()
     return handle
+
+
+def stream_requests(stream: DataFrame, model, keys: list[str], valid_sink: str, reject_sink: str,
+                    checkpoint: str, available_now: bool = True):
+    """Raw request rows through a request model (``operators.requests``): scores
+    to one table, rejected rows with their reasons to another."""
+    def per_batch(batch: DataFrame, batch_id: int):
+        scored, rejected = score_requests(model, batch, keys)
+        scored.write.mode("overwrite").parquet(f"{valid_sink}/batch={batch_id}")
+        rejected.write.mode("overwrite").parquet(f"{reject_sink}/batch={batch_id}")
+
+    q = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    handle = (q.trigger(availableNow=True) if available_now else q.trigger(processingTime="10 seconds")).start()
+    if available_now:
+        handle.awaitTermination()
+    return handle
