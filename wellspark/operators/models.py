@@ -3,8 +3,8 @@
 Tree ensembles, boosted trees, linear models, k-means and perceptrons are
 MLlib estimators (distributed fits).  Settings the reference takes from its
 libraries are mapped explicitly: sklearn's ``C`` becomes ``regParam =
-1 / (C * n)``, 'balanced' class weights become a weight column, k-means
-``n_init`` becomes the best of several seeds, and an RBF kernel regression
+1 / (C * n)``, 'balanced' class weights become a weight column (k-means
+with its starts is in ``manykmeans``), and an RBF kernel regression
 becomes random Fourier features + a linear model.
 """
 
@@ -18,7 +18,6 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        LogisticRegression,
                                        MultilayerPerceptronClassifier,
                                        OneVsRest, RandomForestClassifier)
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
@@ -101,23 +100,6 @@ def fit_mlp(train: DataFrame, layers: list[int], features="features", label="lab
                                           maxIter=max_iter, seed=seed).fit(train)
 
 
-def fit_kmeans(df: DataFrame, k: int = 5, starts: int = 10, seed: int = 46, features="features",
-               parallelism: int = 8):
-    """Best of ``starts`` seeded runs by training cost (sklearn ``n_init``).
-    Runs are submitted from driver threads so several distributed fits share
-    the cluster at once; the input is cached for the duration."""
-    from concurrent.futures import ThreadPoolExecutor
-    data = df.select(features).cache()
-    try:
-        def run(s):
-            return KMeans(k=k, seed=seed + s, featuresCol=features).fit(data)
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, starts))) as pool:
-            models = list(pool.map(run, range(starts)))
-    finally:
-        data.unpersist()
-    return min(models, key=lambda m: (m.summary.trainingCost, models.index(m)))
-
-
 def total_sum_of_squares(df: DataFrame, features_array: str) -> float:
     """k = 1 inertia in closed form: sum of squared distances to the mean."""
     dim = len(df.select(features_array).first()[0])
@@ -130,21 +112,6 @@ def total_sum_of_squares(df: DataFrame, features_array: str) -> float:
     return float(sum(row[f"q{i}"] - row[f"s{i}"] ** 2 / n for i in range(dim)))
 
 
-def kmeans_elbow(df: DataFrame, ks, features="features", features_array="arr", seed=46, starts=1,
-                 parallelism: int = 4):
-    """Inertia for every K; k = 1 in closed form (MLlib rejects k = 1).  The
-    fits are submitted from a few driver threads and share the cluster."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    def cost(k):
-        if k == 1:
-            return (1, total_sum_of_squares(df, features_array))
-        return (k, float(fit_kmeans(df, k, starts, seed, features, parallelism=1).summary.trainingCost))
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(cost, list(ks)))
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double")
-
-
 def rff_features(df: DataFrame, cols: list[str], n_features: int = 100, gamma: float = 0.1,
                  seed: int = 42, out: str = "features") -> DataFrame:
     """Random Fourier features z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma),

@@ -15,6 +15,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import functions as F
 
 from wellspark.operators import evaluate as EV
+from wellspark.operators import manykmeans as MK
 from wellspark.operators import models as M
 from wellspark.operators import requests as RQ
 from wellspark.operators import tune as TU
@@ -145,25 +146,22 @@ def q_fit_mlp_classifier(spark, sf):
 
 @register("fit_kmeans", S)
 def q_fit_kmeans(spark, sf):
-    e = emb_frame(spark, sf).cache()
-    model = M.fit_kmeans(e, k=5, starts=10, seed=46)
+    e = emb_frame(spark, sf)
+    model, inertia = MK.fit_best(e, k=5, starts=10, seed=46)
     sizes = model.transform(e).groupBy(F.col("prediction").alias("cluster")).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.withColumn("cost", F.lit(float(model.summary.trainingCost)))
+    return sizes.withColumn("cost", F.lit(inertia))
 
 
 @register("add_prediction_columns", S)
 def q_add_prediction_columns(spark, sf):
     e = emb_frame(spark, sf)
-    model = M.fit_kmeans(e, k=5, starts=2, seed=46)
+    model, _ = MK.fit_best(e, k=5, starts=10, seed=46)
     return model.transform(e).select("vec_id", F.col("prediction").alias("cluster"), "label")
 
 
 @register("kmeans_elbow", S)
 def q_kmeans_elbow(spark, sf):
-    e = table(spark, sf, "embeddings").select(
-        F.transform("embedding", lambda x: x.cast("double")).alias("arr"))
-    e = e.withColumn("features", array_to_vector("arr")).cache()
-    return M.kmeans_elbow(e, range(1, 50), starts=1)
+    return MK.elbow(table(spark, sf, "embeddings"), range(1, 50), starts=10, seed=46, features="embedding")
 
 
 @register("fit_kernel_regression", S)
@@ -314,7 +312,7 @@ def q_score_encoded(spark, sf):
 def q_score_cluster(spark, sf):
     from wellspark.operators.score import score_clusters
     e = emb_frame(spark, sf)
-    model = M.fit_kmeans(e, k=5, starts=2, seed=46)
+    model, _ = MK.fit_best(e, k=5, starts=10, seed=46)
     return score_clusters(model, e, "vec_id")
 
 
