@@ -93,9 +93,11 @@ def count_by_two(df: DataFrame, x: str, hue: str, order: list | None = None) ->
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """Equal-width bins over [min, max]; density = count / (n * width).
-    Empty bins are present with count 0."""
+    Empty bins are present with count 0; a column without a value has none."""
     spark = df.sparkSession
     st = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi"), F.count(col).alias("n")).first()
+    if not st.n:  # no value, no bins
+        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, n bigint, density double")
     lo, hi, n = float(st.lo), float(st.hi), st.n
     w = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.lit(bins - 1), F.floor((F.col(col) - F.lit(lo)) / F.lit(w)).cast("int"))

@@ -72,11 +72,11 @@ _BIN_SQL = "(SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CASE WHEN label =
 
 
 @register("tomek_links", S, f"""
-WITH nn AS {_knn_sql(1, 'a.vec_id <> b.vec_id', _BIN_SQL, _BIN_SQL)},
-l AS (SELECT vec_id, label FROM {_BIN_SQL})
+WITH e AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[64]) AS v, label = 0 AS label FROM embeddings),
+nn AS MATERIALIZED (SELECT a.vec_id AS qid, a.label, min(struct_pack(d := array_distance(a.v, b.v), i := b.vec_id)).i AS nid
+    FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY 1, 2)
 SELECT x.qid AS id_a, x.nid AS id_b FROM nn x JOIN nn y ON x.qid = y.nid AND x.nid = y.qid
-JOIN l la ON la.vec_id = x.qid JOIN l lb ON lb.vec_id = x.nid
-WHERE la.label <> lb.label AND x.qid < x.nid""")
+WHERE x.label <> y.label AND x.qid < x.nid""")
 def q_tomek_links(spark, sf):
     e = _emb(spark, sf).withColumn("label", (F.col("label") == 0).cast("int"))
     return NB.tomek_links(e, "vec_id", "vec", "label")
@@ -88,6 +88,22 @@ def q_smote(spark, sf):
     return NB.smote(e, "vec_id", "vec", "label", minority=1, ratio=0.5, k=5, seed=46)
 
 
+@register("smote_tomek", S)
+def q_smote_tomek(spark, sf):
+    """The rebalanced training rows: SMOTE to half of the majority, then both
+    rows of every Tomek link removed."""
+    e = _emb(spark, sf).withColumn("label", (F.col("label") == 0).cast("int"))
+    train = e.where(split_col("vec_id") == "train")
+    return NB.smote_tomek(train, "vec_id", "vec", "label", minority=1, ratio=0.5, k=5, seed=46)
+
+
+@register("knn_visits", S)
+def q_knn_visits(spark, sf):
+    """Cells that each query of the exact search visits."""
+    e = _emb(spark, sf)
+    return NB.knn(e, e, 5, "vec_id", "vec_id", "vec", exclude_self=True, visits=True)
+
+
 # ------------------------------------------------------------------ evaluation
 
 _PRED_SQL = """(SELECT o_orderkey, o_orderpriority AS label, CASE WHEN o_totalprice < 100000 THEN '1-URGENT'

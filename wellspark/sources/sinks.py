@@ -23,8 +23,9 @@ def _fs(spark: SparkSession, path: str):
 
 def publish(df: DataFrame, final_path: str, fmt: str = "parquet", single_file: bool = False,
             partition_by: list[str] | None = None) -> str:
-    """Write to ``<final>_temp`` then swap it in with a file-system rename,
-    so readers never see a half-written dataset."""
+    """Write to ``<final>_temp``, rename an old dataset aside, rename the new
+    one in, then delete the old: readers never see a half-written dataset, and
+    a failure between the steps leaves the old or the new one whole."""
     spark = df.sparkSession
     staging = final_path.rstrip("/") + "_temp"
     out = df.coalesce(1) if single_file else df
@@ -36,10 +37,15 @@ def publish(df: DataFrame, final_path: str, fmt: str = "parquet", single_file: b
     else:
         w.format(fmt).save(staging)
     fs, final, jvm = _fs(spark, final_path)
+    aside = jvm.org.apache.hadoop.fs.Path(final_path.rstrip("/") + "_old")
     if fs.exists(final):
-        fs.delete(final, True)
+        fs.delete(aside, True)  # of an earlier run that ended after its swap
+        if not fs.rename(final, aside):
+            raise OSError(f"rename {final_path} -> {aside} failed")
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), final):
+        fs.rename(aside, final)  # the old dataset stays
         raise OSError(f"rename {staging} -> {final_path} failed")
+    fs.delete(aside, True)
     return final_path
 
 
