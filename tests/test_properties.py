@@ -200,8 +200,30 @@ def test_chunk_recursive_bounds():
 
 def test_lemmas_use_lexicon(spark):
     df = spark.createDataFrame([(1, ["dogs", "dog", "boxes", "box", "glass"])], "id int, tokens array<string>")
-    out = textfeat.lemmatize(df, "id", "tokens").first().lemmas
+    out = textfeat.lemmatize(df, "tokens").first().lemmas
     assert out == ["dog", "dog", "box", "box", "glass"]
+    lexicon = spark.createDataFrame([("box",), (None,), ("glas",)], "word string")
+    assert textfeat.lemmatize(df, "tokens", lexicon).first().lemmas == ["dogs", "dog", "box", "box", "glas"]
+
+
+@pytest.mark.parametrize("most", [500_000, 0])  # looked up in the rows, and joined
+def test_lemmas_of_repeated_ids_nulls_and_empty_tables(spark, monkeypatch, most):
+    monkeypatch.setattr(textfeat, "LOOKUP_WORDS", most)
+    rows = [(1, ["dogs", "run"]), (1, ["cats", "sit", None, "dog"]), (1, ["cats", "sit", None, "dog"]), (2, None), (3, []), (None, ["cat"])]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>")
+    got = textfeat.lemmatize(df, "tokens").collect()
+    want = [(1, ("dog", "run")), (1, ("cat", "sit", None, "dog")), (1, ("cat", "sit", None, "dog")), (2, ()), (3, ()), (None, ("cat",))]
+    assert sorted(((r.id, tuple(r.lemmas)) for r in got), key=str) == sorted(want, key=str)
+    assert textfeat.lemmatize(df.limit(0), "tokens").count() == 0
+
+
+def test_lemmas_read_the_texts_twice(spark):
+    """Once for the words, once to rewrite; nothing is joined to the rows."""
+    df = spark.createDataFrame([(1, ["dogs", "dog"])], "id int, tokens array<string>")
+    words = textfeat.lemma_table(df.select(F.explode("tokens").alias("word")))
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Generate explode(tokens") == 1
+    assert "Join" not in textfeat.lemmatize(df, "tokens")._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_kmeans_elbow_k1_closed_form(spark):

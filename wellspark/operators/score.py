@@ -54,14 +54,15 @@ def join_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str = "c
     return j.withColumns({c: F.coalesce(F.col(c), F.lit(d)) for c, d in zip(cols, UNKNOWN_PERSONA)}).drop("_k")
 
 
-def score_classes(model, df: DataFrame, labels: list[str], key: str) -> DataFrame:
-    """Predicted class name and a class -> probability map (rounded 4)."""
+def score_classes(model, df: DataFrame, labels: list[str], key: str, carry: list[str] | None = None) -> DataFrame:
+    """Predicted class name and a class -> probability map (rounded 4), with the
+    columns ``carry`` of the same row."""
     from pyspark.ml.functions import vector_to_array
     out = model.transform(df)
     names = F.array(*[F.lit(x) for x in labels])
     probs = F.map_from_arrays(names, F.transform(vector_to_array("probability"), lambda p: F.round(p, 4)))
     return out.select(key, F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted"),
-                      probs.alias("probs"))
+                      probs.alias("probs"), *(carry or []))
 
 
 def centre_distances(vec: "F.Column", centres) -> "F.Column":

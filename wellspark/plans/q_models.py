@@ -326,15 +326,14 @@ def q_score_text(spark, sf):
                                              clean_tokens(F.col("text")).alias("tokens"))
     # lemmas by the TRAIN words, for both parts
     words = d.where("split = 'train'").select(F.explode("tokens").alias("word"))
-    d = lemmatize(d, "doc_id", "tokens", words).select(
+    d = lemmatize(d, "tokens", words).select(
         "doc_id", "lang", "split", F.when(F.col("tokens").isNotNull(), F.array_join("lemmas", " ")).alias("text_clean"))
-    d = d.withColumn("_tok", word_tokens(F.col("text_clean"))).persist()
-    vec, _vocab = count_vectorize(d.where("split = 'train'"), F.col("_tok"))
+    d = d.withColumn("_tok", word_tokens(F.col("text_clean")))
+    vec, vocab = count_vectorize(d.where("split = 'train' AND lang IS NOT NULL"), F.col("_tok"))
     idx = StringIndexer(inputCol="lang", outputCol="label", stringOrderType="alphabetAsc").fit(vec)
-    model = LogisticRegression(maxIter=100, family="multinomial").fit(idx.transform(vec))
+    model = LogisticRegression(maxIter=100, family="multinomial").fit(idx.transform(vec).select("features", "label"))
     # score the test rows with the TRAIN vocabulary
-    terms = [r.term for r in _vocab.orderBy("index").collect()]
+    terms = [r.term for r in vocab.orderBy("index").collect()]
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol="_grams", outputCol="features")
     test = cv.transform(d.where("split = 'test'").withColumn("_grams", F.concat("_tok", ngrams(F.col("_tok"), 2))))
-    out = score_classes(model, test, list(idx.labels), "doc_id")
-    return out.join(d.select("doc_id", "text_clean"), "doc_id")
+    return score_classes(model, test, list(idx.labels), "doc_id", ["text_clean"])

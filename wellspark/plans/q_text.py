@@ -199,10 +199,22 @@ def q_round_output(spark, sf):
                      F.round(F.col("value") / (F.col("value") + 1.0), 4).alias("prob"))
 
 
-@register("txt_lemmas", S)
+def _rewrites_sql(w: str) -> str:
+    return "[" + w + "".join(f", CASE WHEN {w} LIKE '%_{suf}' THEN left({w}, length({w}) - {len(suf)}) || '{rep}' END"
+                             for suf, rep in X.NOUN_SUFFIX_RULES) + "]"
+
+
+@register("txt_lemmas", S, f"""
+WITH d AS (SELECT doc_id, {clean_tokens_sql('text')} AS toks FROM documents),
+t AS (SELECT doc_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM d),
+v AS (SELECT DISTINCT tok FROM t),
+c AS (SELECT tok, unnest({_rewrites_sql('tok')}) AS cand FROM v),
+b AS (SELECT c.tok, arg_min(c.cand, (length(c.cand), c.cand)) AS lemma FROM c JOIN v ON v.tok = c.cand GROUP BY c.tok),
+l AS (SELECT t.doc_id, string_agg(b.lemma, ' ' ORDER BY t.pos) AS text_lemmas FROM t JOIN b USING (tok) GROUP BY t.doc_id)
+SELECT d.doc_id, coalesce(l.text_lemmas, '') AS text_lemmas FROM d LEFT JOIN l USING (doc_id)""")
 def q_txt_lemmas(spark, sf):
     d = _docs(spark, sf).select("doc_id", X.clean_tokens(F.col("text")).alias("tokens"))
-    return TF.lemmatize(d, "doc_id", "tokens").select(
+    return TF.lemmatize(d, "tokens").select(
         "doc_id", F.array_join("lemmas", " ").alias("text_lemmas"))
 
 
