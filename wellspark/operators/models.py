@@ -23,6 +23,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wellspark.operators.boosting import fit_softmax
 from wellspark.operators.profile import join_class_weight
 
 
@@ -51,20 +52,25 @@ def fit_gbt_regressor(train: DataFrame, features="features", label="label", max_
 
 
 def fit_gbt_classifier(train: DataFrame, n_classes: int, features="features", label="label",
-                       max_iter=20, step=0.1, depth=5, balanced=True, seed=42):
-    """Binary: GBTClassifier; more classes: one-vs-rest GBTs (MLlib's GBT is
-    binary only)."""
+                       max_iter=50, step=0.1, depth=5, balanced=True, seed=42):
+    """Binary: GBTClassifier; more classes: boosting on the softmax loss, one
+    tree a class and round (``boosting``)."""
+    if n_classes > 2:
+        return fit_softmax(train, n_classes, features, label, max_iter, step, depth, balanced)
     gbt = GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, stepSize=step,
                         maxDepth=depth, seed=seed)
     if balanced:
         train = with_balanced_weights(train, label)
         gbt = gbt.setWeightCol("weight")
-    if n_classes <= 2:
-        return gbt.fit(train)
-    ovr = OneVsRest(classifier=gbt, featuresCol=features, labelCol=label)
-    if balanced:
-        ovr = ovr.setWeightCol("weight")
-    return ovr.fit(train)
+    return gbt.fit(train)
+
+
+def fit_one_vs_rest(train: DataFrame, features="features", label="label", max_iter=20, step=0.1, depth=5, seed=42):
+    """One binary GBT a class, weighted to balance the classes."""
+    gbt = GBTClassifier(featuresCol=features, labelCol=label, maxIter=max_iter, stepSize=step,
+                        maxDepth=depth, seed=seed).setWeightCol("weight")
+    return OneVsRest(classifier=gbt, featuresCol=features, labelCol=label, weightCol="weight").fit(
+        with_balanced_weights(train, label))
 
 
 def fit_gbt_imbalanced(train: DataFrame, features="features", label="label", pos_weight=100.0,

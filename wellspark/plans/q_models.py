@@ -101,7 +101,7 @@ def q_fit_gbt_regressor(spark, sf):
 @register("fit_gbt_classifier", S)
 def q_fit_gbt_classifier(spark, sf):
     train, test = _split(status_frame(spark, sf))
-    model = M.fit_gbt_classifier(train, n_classes=3, max_iter=10, depth=4)
+    model = M.fit_gbt_classifier(train, n_classes=3, max_iter=50, step=0.1, depth=4)
     return _cls_metrics(model.transform(test))
 
 
@@ -187,6 +187,16 @@ def q_grid_search(spark, sf):
     return res
 
 
+@register("grid_search_balanced", S)
+def q_grid_search_balanced(spark, sf):
+    """Resampling ratio, features and tree depth of a toxic-document model in one grid, by F2."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+    train, _test = _split(toxic_frame(spark, sf).withColumn("vec", vector_to_array("features")))
+    tree = DecisionTreeClassifier(seed=46)
+    fit = TU.BalancedFit(base=tree, id_col="doc_id")
+    return TU.balanced_grid(train, fit, {tree.maxDepth: [2, 4]}, ratios=[0.5, 1.0], k_bests=[2, 4], folds=5)[1]
+
+
 @register("cross_val_depth", S)
 def q_cross_val_depth(spark, sf):
     from pyspark.ml.classification import DecisionTreeClassifier
