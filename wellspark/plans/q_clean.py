@@ -321,4 +321,22 @@ def q_impute_fit_apply(spark, sf):
     return imp.transform(li).select("l_orderkey", "l_linenumber", "split", "qty")
 
 
+_PRICE_NULL = "CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE o_totalprice END"  # a survey number with gaps
+
+
+@register("impute_all_kinds", S, f"""
+WITH t AS (SELECT *, {_PRICE_NULL} AS price, {_ORD_SPLIT} AS split FROM {SURVEY_ORDERS_SQL}),
+m AS (SELECT quantile_cont(price, 0.5) AS med FROM t WHERE split = 'train')
+SELECT o_orderkey, split, coalesce(prio, '{clean.UNKNOWN}') AS prio, coalesce(price, med) AS price,
+       CASE WHEN lower(trim(answer, ' ')) = 'yes' THEN true
+            WHEN lower(trim(answer, ' ')) = 'no' THEN false ELSE {_MODE_SQL} = 'yes' END AS answer
+FROM t, m""")
+def q_impute_all_kinds(spark, sf):
+    """Constant, median and mode learned on the training rows, applied to both parts."""
+    o = survey_orders(spark, sf).withColumns({"split": split_col("o_orderkey"), "price": F.expr(_PRICE_NULL)})
+    imp = clean.Imputation(category_cols=["prio"], median_cols=["price"], bool_cols=["answer"])
+    imp.fit(o.where(F.col("split") == "train"))
+    return imp.transform(o).select("o_orderkey", "split", "prio", "price", "answer")
+
+
 __all__ = ["events_retention", "QTY_NULL", "PRIO_NULL", "YES_NO"]
