@@ -191,13 +191,6 @@ def test_udf_scalar_equals_native_chain(spark):
     assert (a.sort_index() == b.sort_index()).mean() > 0.99
 
 
-def test_chunk_recursive_bounds():
-    text = ("para one line. " * 40 + "\n\n" + "word " * 300 + "\n" + "x" * 1200)
-    chunks = retrieve.chunk_recursive_pdf(text, 500, 50)
-    assert chunks and all(len(c) <= 500 for c in chunks)
-    assert "x" * 400 in "".join(chunks)
-
-
 def test_lemmas_use_lexicon(spark):
     df = spark.createDataFrame([(1, ["dogs", "dog", "boxes", "box", "glass"])], "id int, tokens array<string>")
     out = textfeat.lemmatize(df, "tokens").first().lemmas

@@ -45,51 +45,92 @@ def chunk_stride(df: DataFrame, id_col: str, text_col: str, size: int = 500, ove
             .select(id_col, "pos", F.substring(F.col(text_col), F.col("pos") + 1, size).alias("chunk")))
 
 
-def chunk_recursive_pdf(text: str, size: int = 500, overlap: int = 50,
-                        separators=("\n\n", "\n", " ", "")) -> list[str]:
-    """Separator cascade: split on the first separator present, merge the
-    pieces greedily up to ``size`` characters with ``overlap`` carried over,
-    and split pieces still too long with the next separator."""
-    def split(t: str, seps) -> list[str]:
-        if len(t) <= size:
-            return [t] if t.strip() else []
-        sep = next((s for s in seps if s == "" or s in t), "")
-        rest = seps[seps.index(sep) + 1:] if sep in seps else ()
-        parts = list(t) if sep == "" else t.split(sep)
-        out, cur = [], ""
-        for p in parts:
-            cand = p if not cur else cur + sep + p
-            if len(cand) <= size:
-                cur = cand
-                continue
-            if cur:
-                out.append(cur)
-                tail = cur[-overlap:] if overlap else ""
-                cur = tail + sep + p if tail and len(tail) + len(sep) + len(p) <= size else p
-            else:
-                cur = p
-            if len(cur) > size:
-                out.extend(split(cur, rest or ("",)))
-                cur = ""
-        if cur.strip():
-            out.append(cur)
-        return out
-    return split(text or "", tuple(separators))
+# Ends of paragraphs, lines and words: a piece keeps the separators behind it.
+CASCADE = (r"(?<=\n\n)(?!\n)", r"(?<=\n)(?!\n)", r"(?<= )(?! )")
+# Characters a text is first taken apart into when chunks are cut out, so that
+# a chunk far behind in a long text is not searched for from its beginning.
+SEGMENT = 1 << 16
+
+
+def _cascade_pieces(text: Column, size: int) -> Column:
+    """Pieces that make up the text; only those too long meet the next separator."""
+    out = F.array(text)
+    for sep in CASCADE:
+        out = F.flatten(F.transform(out, lambda p: F.when(F.char_length(p) <= size, F.array(p))
+                                    .otherwise(F.split(p, sep))))
+    return F.filter(out, lambda p: p != "")
+
+
+def _packed(pieces: Column, size: int, overlap: int) -> Column:
+    """(s, e) of every chunk: one fold over the pieces.  The state holds the open
+    chunk [s, e), the piece boundaries of its last ``overlap`` characters (w),
+    and the last stretch [f, g] that may be cut anywhere, out of a piece longer
+    than ``size``."""
+    ints = "array<int>"
+    step = size - overlap
+
+    def state(s, e, f, g, w, out):
+        return F.struct(s.alias("s"), e.alias("e"), f.alias("f"), g.alias("g"), w.alias("w"), out.alias("out"))
+
+    def span(s, e):
+        return F.array(F.struct(s.alias("s"), e.alias("e")))
+
+    def start(acc, least):
+        """Smallest boundary that is not below ``least``."""
+        free = F.when(acc["g"] >= least, F.greatest(acc["f"], least))
+        return F.least(F.array_min(F.filter(acc["w"], lambda v: v >= least)), free)
+
+    def add(acc, piece):
+        x = acc["e"] + F.char_length(piece)
+        window = F.concat(F.filter(acc["w"], lambda v: v >= x - overlap), F.array(x))
+        longer = state(acc["s"], x, acc["f"], acc["g"], window, acc["out"])
+        closed = state(F.coalesce(start(acc, F.greatest(acc["e"] - overlap, x - size)), acc["e"]), x, acc["f"],
+                       acc["g"], window, F.concat(acc["out"], span(acc["s"], acc["e"])))
+        full = acc["s"] + size  # a piece longer than a chunk fills the open one
+        second = F.least(start(acc, full - overlap), F.greatest(acc["e"], full - overlap))
+        more = F.greatest(F.lit(0), F.ceil((x - second - size) / step).cast("int"))
+        cuts = F.when(more > 0, F.transform(F.sequence(F.lit(1), more), lambda k: F.struct(
+            (second + (k - 1) * step).alias("s"), (second + (k - 1) * step + size).alias("e")))) \
+            .otherwise(F.array().cast("array<struct<s:int,e:int>>"))
+        cut = state(second + more * step, x, acc["e"], x, F.array().cast(ints),
+                    F.concat(acc["out"], span(acc["s"], full), cuts))
+        return F.when(F.char_length(piece) > size, cut).when(x - acc["s"] <= size, longer).otherwise(closed)
+
+    zero = F.lit(0)
+    first = state(zero, zero, zero, zero, F.array().cast(ints), F.array().cast("array<struct<s:int,e:int>>"))
+    return F.aggregate(pieces, first, add, lambda acc: F.when(
+        acc["e"] > acc["s"], F.concat(acc["out"], span(acc["s"], acc["e"]))).otherwise(acc["out"]))
 
 
 def chunk_recursive(df: DataFrame, id_col: str, text_col: str, size: int = 500, overlap: int = 50) -> DataFrame:
-    """The separator cascade per document, in Arrow batches (a flat map)."""
-    def run(batches):
-        for pdf in batches:
-            ids, poss, chunks = [], [], []
-            for i, t in zip(pdf[id_col], pdf[text_col]):
-                for j, c in enumerate(chunk_recursive_pdf(t, size, overlap)):
-                    ids.append(i)
-                    poss.append(j)
-                    chunks.append(c)
-            yield pd.DataFrame({id_col: ids, "pos": poss, "chunk": chunks})
-    id_type = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInPandas(run, f"{id_col} {id_type}, pos int, chunk string")
+    """Separator cascade with greedy packing: (id, pos, chunk), pos being the
+    chunk's first character.
+
+    A text is taken apart after paragraphs; pieces longer than ``size`` after
+    lines, then after words, and what is still longer may be cut anywhere.
+    Pieces are packed in order into chunks of at most ``size`` characters; a
+    chunk starts with as much of the end of the one before as whole pieces of
+    at most ``overlap`` characters give, also where a piece was taken apart
+    further.  Every character is in a chunk, blanks and separators too.  All of
+    it is built-in functions of one row, so nothing is shuffled.
+
+    Defined results: no rows for a null or empty text; repeated ids give the
+    chunks of each row; other columns are ignored."""
+    if size < 1 or not 0 <= 2 * overlap <= size:
+        raise ValueError("overlap must be at most half of size")
+    src = df.select(F.col(id_col), F.col(text_col).alias("_text")).where(F.char_length("_text") > 0)
+    text = F.col("_text")
+    segments = F.transform(F.sequence(F.lit(0), F.char_length(text) - 1, F.lit(SEGMENT)),
+                           lambda i: F.substring(text, i + 1, SEGMENT + size))
+    spans = _packed(_cascade_pieces(text, size), size, overlap)
+
+    def cut(c: Column, segs: Column) -> Column:
+        seg = F.get(segs, F.floor(c["s"] / SEGMENT).cast("int"))
+        return F.struct(c["s"].alias("pos"), F.substring(seg, c["s"] % SEGMENT + 1, c["e"] - c["s"]).alias("chunk"))
+
+    # the one-element array keeps the segments from being made anew for every chunk
+    chunks = F.flatten(F.transform(F.array(segments), lambda segs: F.transform(spans, lambda c: cut(c, segs))))
+    return src.select(id_col, F.explode(chunks).alias("_c")).select(id_col, "_c.pos", "_c.chunk")
 
 
 # --------------------------------------------------------------- postings

@@ -25,6 +25,11 @@ def q_chunk_text(spark, sf):
     return RT.chunk_stride(table(spark, sf, "documents"), "doc_id", "text", 500, 50)
 
 
+@register("chunk_cascade", S)
+def q_chunk_cascade(spark, sf):
+    return RT.chunk_recursive(table(spark, sf, "documents"), "doc_id", "text", 500, 50)
+
+
 def _chunks(spark, sf):
     # a position is below 2**30, so ids up to 9e9 give distinct chunk ids
     c = RT.chunk_stride(table(spark, sf, "documents"), "doc_id", "text", 500, 50)
