@@ -194,6 +194,13 @@ def q_residual_table(spark, sf):
     return rows.select("id.l_orderkey", "id.l_linenumber", "label", "prediction", "residual")
 
 
+@register("residual_range", S, f"""
+SELECT least(min(label), min(prediction)) AS lo, greatest(max(label), max(prediction)) AS hi FROM {_REG_SQL}""")
+def q_residual_range(spark, sf):
+    _rows, rng = EV.residual_table(_reg(spark, sf), "l_orderkey")
+    return rng
+
+
 _SCORE = "CAST(d.n_chars % 1000 AS DOUBLE) / 1000.0"
 _BINSC_SQL = f"(SELECT d.doc_id, l.toxic AS label, {_SCORE} AS score FROM documents d JOIN labels l USING (doc_id))"
 
@@ -343,3 +350,16 @@ def q_select_k_best(spark, sf):
     wide = e.select("label", *[F.col("vec")[i].alias(f"f{i:02d}") for i in range(64)])
     return EN.anova_f(wide, "label", [f"f{i:02d}" for i in range(64)]).select(
         "feature", F.round("f_score", 4).alias("f_score"))
+
+
+@register("select_k_best_columns", S, f"""
+WITH f AS ({_anova_sql(64).replace("round(", "(").replace(", 4) AS", ") AS")}),
+best AS (SELECT feature FROM f ORDER BY f_score DESC, feature LIMIT 10)
+SELECT e.vec_id, best.feature, e.v[CAST(substr(best.feature, 2) AS INTEGER) + 1] AS x FROM {_EMB_SQL} e, best""")
+def q_select_k_best_columns(spark, sf):
+    """The table cut to the 10 best columns, as (row, column name, value)."""
+    names = [f"f{i:02d}" for i in range(64)]
+    wide = _emb(spark, sf).select("vec_id", "label", *[F.col("vec")[i].alias(f) for i, f in enumerate(names)])
+    best = EN.select_k_best(wide, "label", names, 10)
+    return wide.select("vec_id", F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("x"))
+                                                      for f in best])).alias("c")).select("vec_id", "c.*")

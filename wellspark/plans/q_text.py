@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from wellspark.functions import text as X
 from wellspark.operators import textfeat as TF
 from wellspark.plans.registry import register
+from wellspark.session import cut_lineage
 from wellspark.sources.tables import table
 
 S = "text"
@@ -118,20 +119,30 @@ def q_top_ngrams(spark, sf):
     return TF.top_ngrams(_docs(spark, sf), toks, (2, 3), 10)
 
 
-@register("count_vectorize", S, f"""
-WITH t AS (SELECT {_CLEAN_WORDS_SQL} AS tok FROM documents),
-g AS (SELECT unnest(tok) AS term FROM t
+_GRAMS_SQL = f"""t AS (SELECT doc_id, {_CLEAN_WORDS_SQL} AS tok FROM documents),
+g AS (SELECT doc_id, unnest(tok) AS term FROM t
       UNION ALL
-      SELECT unnest(list_transform(range(1, len(tok)), lambda i: tok[i] || ' ' || tok[i + 1])) AS term
+      SELECT doc_id, unnest(list_transform(range(1, len(tok)), lambda i: tok[i] || ' ' || tok[i + 1])) AS term
       FROM t WHERE len(tok) >= 2),
-c AS (SELECT term, count(*) AS n FROM g GROUP BY 1)
-SELECT term, n, CAST(row_number() OVER (ORDER BY n DESC, term) - 1 AS INTEGER) AS "index"
-FROM c ORDER BY n DESC, term LIMIT 20000""")
+c AS (SELECT term, count(*) AS n FROM g GROUP BY 1),
+v AS (SELECT term, n, CAST(row_number() OVER (ORDER BY n DESC, term) - 1 AS INTEGER) AS "index"
+  FROM c ORDER BY n DESC, term LIMIT 20000)"""
+
+
+@register("count_vectorize", S, f"""WITH {_GRAMS_SQL} SELECT term, n, "index" FROM v""")
 def q_count_vectorize(spark, sf):
     toks = X.word_tokens(X.clean_text(F.col("text")))
     return TF.fit_vocabulary(_docs(spark, sf), toks, 20000, (1, 2))
 
 
+@register("count_vectors", S, f"""WITH {_GRAMS_SQL}
+SELECT g.doc_id, v."index", count(*) AS "count" FROM g JOIN v USING (term) GROUP BY 1, 2""")
+def q_count_vectors(spark, sf):
+    d, toks = _docs(spark, sf), X.word_tokens(X.clean_text(F.col("text")))
+    vocab = cut_lineage(TF.fit_vocabulary(d, toks, 20000, (1, 2)))
+    return TF.sparse_counts(d, "doc_id", toks, vocab, (1, 2))
+
+
 @register("term_freq_by_class", S, f"""
 WITH t AS (SELECT l.quality, unnest({clean_tokens_sql('d.text')}) AS term
            FROM documents d JOIN labels l USING (doc_id)),
