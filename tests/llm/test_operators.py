@@ -369,15 +369,45 @@ def test_scores_without_labels_and_texts(spark, module, label):
 
 
 def test_grammar_composition():
-    net = toxicity.compose(toxicity.grammar())
-    scorer = toxicity.Scorer(toxicity.Lexicon({"scum": 2.0}, {}))
-    one = scorer.clauses("scum here.")[0]
-    assert one == 2.0 and net.states == 2 * 4 * 2 * 2 * 2
-    assert scorer.clauses("you are scum")[0] > one
-    assert scorer.clauses("not scum")[0] < one
-    assert scorer.clauses("he said scum")[0] < one
-    assert scorer.clauses("kill time")[0] < scorer.clauses("kill you, i will kill")[0]
+    scorer = toxicity.Scorer(toxicity.Lexicon({"scum": 2.0, "idiot": 3.0}, {}))
+
+    def one(text):
+        return scorer.clauses(text)[0]
+
+    assert one("scum here.") == 2.0
+    assert one("you are scum") > 2.0 > one("not scum") and one("he said scum") < 2.0
+    # targets, reported speech and threats in the natural order of words
+    assert one("i will kill you") == one("you i will kill") > one("i will kill time") == one("kill time")
+    assert one("you idiot") == one("idiot you") == 4.5
+    assert one("you idiot, he said") == pytest.approx(4.5 * 0.6) == one("he said you idiot")
+    assert one("i never said you idiot") < one("he said you idiot")
+    for threat in ("she was killing you", "er tötet dich", "il te frappait", "stabbed you", "ella golpeó a usted"):
+        assert one(threat) == one("kill you")
     assert scorer.clauses("scum. clean. scum") == [2.0, 2.0] and scorer.clauses(None) == []
+    assert scorer.clauses("time goes on") == []
+
+
+def plain_clause(classes, weights):
+    """A clause's score from the rules as the docstring has them, word by word."""
+    total, negated, row = 0.0, 0, False
+    for i, (c, w) in enumerate(zip(classes, weights)):
+        if c in "IT":
+            y, r = "Y" in classes[:i] + classes[i + 1:], "R" in classes[:i] + classes[i + 1:]
+            total += w * ((1.5 if c == "I" else 2.0) if y else 1.0) * (0.4 if negated else 1.0) * (0.6 if r else 1.0) \
+                * (1.25 if c == "I" and row else 1.0) * (0.1 if c == "T" and not y else 1.0)
+        row = True if c == "I" else row and c != "o"
+        negated = 3 if c == "N" else max(negated - 1, 0)
+    return total
+
+
+def test_composed_grammar_equals_plain_scorer():
+    import random
+
+    scorer, rnd = toxicity.Scorer(toxicity.Lexicon({}, {})), random.Random(8)
+    for _ in range(3000):
+        classes = [rnd.choice("IYNRTooo") for _ in range(rnd.randint(1, 14))]
+        weights = [rnd.choice((1.0, 2.5)) for _ in classes]
+        assert scorer.run(list(zip(classes, weights))) == pytest.approx(plain_clause(classes, weights))
 
 
 # ---------------------------------------------------------------- quotes (3)

@@ -2,15 +2,20 @@
 
 A text is read as clauses of word classes: insult (I), threat verb (T), target
 (Y), negation (N), reported speech (R), other word (o) and clause end (|).
-Five small transducers each read that class string and write weights: insult
-and threat write the weight of a match, target raises it, negation and reported
-speech lower it.  They are composed (product of states, product of weights)
-into one automaton that runs once over every clause with an insult or a threat,
-so the matched clause is scored and not the isolated word.  Sum, maximum and
-number of clause scores feed a logistic curve.
+A first transducer reads a clause from its end and writes the class string
+anew: every insult and threat with marks for a target (y) and a verb of
+reporting (r) behind it.  Five small transducers read what it wrote, from the
+front, and write weights: insult and threat write the weight of a match, target
+raises it, negation and reported speech lower it; targets and verbs of
+reporting count on either side of the match.  The five are composed (states
+reached together, product of weights) into one automaton that runs once over
+every marked clause with an insult or a threat, so the matched clause is scored
+and not the isolated word.  Sum, maximum and number of clause scores feed a
+logistic curve.
 
 The insult class is a lexicon of words and word beginnings learned from
-labelled rows; the other classes are short fixed lists.
+labelled rows; the other classes are short fixed lists, threats with their
+inflected forms by rule.
 
 Defined results: a null or empty text, and one without matched clause, has the
 curve's lowest score; columns other than the id and the text are ignored;
@@ -25,7 +30,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -46,6 +50,30 @@ REPORTED = ("said says say called calls quote quoted wrote sagte sagt sagen nann
             "écrit dijo dice llamó escribió").split()
 THREAT = ("kill hurt destroy beat stab shoot burn töten schlagen umbringen verletzen tuer frapper détruire "
           "matar golpear destruir herir").split()
+# Forms of these verbs that no rule below gives.
+IRREGULAR = ("beaten shot burnt schlägt schlägst schlug schlugen geschlagen umgebracht umbrachte "
+             "verletzt détruit détruis détruisent hiere hieren hiero destruye destruyen destruyo").split()
+
+
+def inflected(verb: str) -> set[str]:
+    """The verb and its regular forms, by the ending that its language has."""
+    out = {verb}
+    if verb.endswith("en"):  # German
+        stem = verb[:-2]
+        link = "e" if stem[-1] in "td" else ""
+        out |= {stem + e for e in ("e", link + "st", link + "t", link + "te", link + "ten")} | {f"ge{stem}{link}t"}
+    elif verb.endswith("er"):  # French
+        out |= {verb[:-2] + e for e in ("e", "es", "ons", "ez", "ent", "é", "ée", "és", "ais", "ait", "ant", "erai", "era")}
+    elif verb.endswith(("ar", "ir")):  # Spanish
+        vowel = verb[-2]
+        out |= {verb[:-2] + e for e in (("o", "as", "a", "amos", "an", "é", "ó", "ado", "ando") if vowel == "a"
+                                        else ("í", "ió", "imos", "ido", "iendo"))} | {verb + e for e in ("é", "á", "te")}
+    elif not verb.endswith("re"):  # English
+        short = len(verb) <= 4 and verb[-1] not in "wxy" and verb[-2] in "aeiou" and verb[-3] not in "aeiou"
+        stem = verb + verb[-1] if short and verb[-1] != "l" else verb
+        out |= {verb + "s", stem + "ed", stem + "ing"}
+    return out
+
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*|[.!?;:\n]")
 
@@ -66,30 +94,54 @@ class Transducer:
         return self.weight.get((s, c), 1.0)
 
 
+MARKS = ("", "y", "r", "yr")
+INSULTS, THREATS = tuple("I" + m for m in MARKS), tuple("T" + m for m in MARKS)
+# What the marking transducer writes and the weighted ones read.
+CLASSES = (*INSULTS, *THREATS, *"YNRo")
+
+
+def mark(classes: list[str]) -> list[str]:
+    """The sequential transducer that reads a clause from its end: its state is
+    what it has seen (a target, a verb of reporting), its output the class of a
+    match with that state."""
+    out, state = [], ("", "")
+    for c in reversed(classes):
+        out.append(c + "".join(state) if c in "IT" else c)
+        state = ("y" if c == "Y" else state[0], "r" if c == "R" else state[1])
+    return out[::-1]
+
+
 def grammar() -> tuple[Transducer, ...]:
     """target, negation, reported speech, insult, threat."""
-    # a target seen in the clause raises later matches
-    target = Transducer(2, {(0, "Y"): 1}, {(1, "I"): 1.5, (1, "T"): 2.0})
+    matches = INSULTS + THREATS
+    # a target in the clause raises its matches
+    target = Transducer(2, {(0, "Y"): 1}, {(s, c): 1.5 if c[0] == "I" else 2.0
+                                           for s in (0, 1) for c in matches if s or "y" in c})
     # a negation reaches over the next three words
-    negation = Transducer(4, {**{(s, "N"): 3 for s in range(4)}, **{(s, c): s - 1 for s in (1, 2, 3) for c in "oIYTR"}},
-                          {(s, c): 0.4 for s in (1, 2, 3) for c in "IT"})
-    # after a verb of reporting the clause is somebody else's words
-    reported = Transducer(2, {(0, "R"): 1}, {(1, "I"): 0.6, (1, "T"): 0.6})
+    negation = Transducer(4, {**{(s, c): s - 1 for s in (1, 2, 3) for c in CLASSES}, **{(s, "N"): 3 for s in range(4)}},
+                          {(s, c): 0.4 for s in (1, 2, 3) for c in matches})
+    # beside a verb of reporting the clause is somebody else's words
+    reported = Transducer(2, {(0, "R"): 1}, {(s, c): 0.6 for s in (0, 1) for c in matches if s or "r" in c})
     # insults in a row weigh more than apart
-    insult = Transducer(2, {(0, "I"): 1, (1, "o"): 0}, {(1, "I"): 1.25})
+    insult = Transducer(2, {**{(0, c): 1 for c in INSULTS}, (1, "o"): 0}, {(1, c): 1.25 for c in INSULTS})
     # a threat counts once its target stands in the clause
-    threat = Transducer(2, {(0, "Y"): 1}, {(0, "T"): 0.1})
+    threat = Transducer(2, {(0, "Y"): 1}, {(0, c): 0.1 for c in THREATS if "y" not in c})
     return target, negation, reported, insult, threat
 
 
 def compose(parts: tuple[Transducer, ...]) -> Transducer:
-    """Product automaton: states are tuples, written weights are multiplied."""
-    number = {s: i for i, s in enumerate(product(*(range(p.states) for p in parts)))}
-    step, weight = {}, {}
-    for s, i in number.items():
-        for c in "IYNRTo":
-            step[i, c] = number[tuple(p.next(x, c) for p, x in zip(parts, s))]
-            weight[i, c] = math.prod(p.out(x, c) for p, x in zip(parts, s))
+    """One transducer for all: its states are the tuples of states that can be
+    reached together (the start is number 0), its weights the products."""
+    start = (0,) * len(parts)
+    number, queue, step, weight = {start: 0}, [start], {}, {}
+    for s in queue:
+        for c in CLASSES:
+            to = tuple(p.next(x, c) for p, x in zip(parts, s))
+            if to not in number:
+                number[to] = len(number)
+                queue.append(to)
+            step[number[s], c] = number[to]
+            weight[number[s], c] = math.prod(p.out(x, c) for p, x in zip(parts, s))
     return Transducer(len(number), step, weight)
 
 
@@ -113,7 +165,8 @@ class Lexicon:
         return got
 
 
-FIXED = {**dict.fromkeys(TARGET, "Y"), **dict.fromkeys(NEGATION, "N"), **dict.fromkeys(REPORTED, "R"), **dict.fromkeys(THREAT, "T")}
+FIXED = {**dict.fromkeys(TARGET, "Y"), **dict.fromkeys(NEGATION, "N"), **dict.fromkeys(REPORTED, "R"),
+         **{f: "T" for v in THREAT for f in inflected(v)}, **dict.fromkeys(IRREGULAR, "T")}
 
 
 class Scorer:
@@ -141,8 +194,8 @@ class Scorer:
     def run(self, clause: list[tuple[str, float]]) -> float:
         state = total = 0
         step, weight = self.net.step, self.net.weight
-        for c, w in clause:
-            if c in "IT":
+        for c, (_, w) in zip(mark([c for c, _ in clause]), clause):
+            if c[0] in "IT":
                 total += w * weight[state, c]
             state = step[state, c]
         return total
