@@ -250,3 +250,21 @@ def test_graph_is_flat_arrays():
         near = g.places(t)
         assert near.shape == (n, hnsw.LINKS * (1 if t else 2)) and near.max() < n
         assert all(len(set(r[r >= 0])) == (r >= 0).sum() and i not in r for i, r in enumerate(near))
+
+
+@pytest.mark.parametrize("held", [1000, 7])
+def test_candidates_handed_on_once(monkeypatch, held):
+    monkeypatch.setattr(collocations, "HELD", held)
+    rng, sent, seen = np.random.default_rng(4), collocations.Sent(), set()
+    for _ in range(40):
+        g, v = rng.integers(0, 12, 15).astype(np.uint64), rng.integers(0, 2, 15).astype(np.uint64)
+        _, first = np.unique(g * np.uint64(2) + v, return_index=True)
+        g, v = g[first], v[first]
+        fresh = set(sent.add(g, v).tolist())
+        new = {i for i in range(len(g)) if (g[i], v[i]) not in seen}
+        assert new <= fresh  # none is withheld
+        seen |= set(zip(g, v))
+        assert (np.diff(sent.g.astype(np.int64)) >= 0).all()
+    words = np.array([[1, 2], [2, 1], [1, 2]])
+    one = collocations.second(words, np.array([5, 5, 6], np.uint64))
+    assert len(set(one.tolist())) == 3
