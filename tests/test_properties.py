@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
-from wellspark.operators import clean, encode, neighbors, quantiles, retrieve, textfeat, windows
+from wellspark.operators import clean, encode, neighbors, quantiles, textfeat, windows
 
 
 def test_entry_schema(spark):
