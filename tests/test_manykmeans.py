@@ -71,3 +71,21 @@ def test_edges(spark, points, tmp_path):
     again = PipelineModel.load(str(tmp_path / "m"))
     key = lambda m: sorted((r.id, r.prediction) for r in m.transform(df.where("v IS NOT NULL")).collect())
     assert key(again) == key(model)
+
+
+def test_later_passes_try_few_rows_and_lose_none(spark, points):
+    df, x = points
+    data = df.select("v").where("v IS NOT NULL").persist()
+    rng = np.random.default_rng(3)
+    fits = [MK.Fit(k, s, MK.plus_plus(x, k, rng)) for k in (1, 4, 7) for s in range(2)]
+    passes, tried = MK.Passes(data), []
+    for _ in range(12):
+        n, _cost, total = passes(fits)
+        tried.append(passes.spent)
+        want = MK.sums([x], *MK.stacked(fits))
+        assert (n == want[0]).all() and np.allclose(total, want[2], rtol=1e-9, atol=1e-9)
+        for f, m, t in zip(fits, np.split(n, MK.stacked(fits)[1][1:-1]), np.split(total, MK.stacked(fits)[1][1:-1])):
+            f.centres = np.where(m[:, None] > 0, t / np.maximum(m, 1)[:, None], f.centres)
+    passes.drop()
+    data.unpersist()
+    assert tried[-1] - tried[-2] < 0.2  # settled rows are not tried again
