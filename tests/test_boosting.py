@@ -102,3 +102,17 @@ def test_hot_rows_nulls_empty_tables_and_odd_labels(spark):
     assert [r[0] for r in none] == [pytest.approx(1 / 3)]
     with pytest.raises(ValueError):
         B.fit_softmax(df, 3)
+
+
+def test_alike_rows_counted_together_give_the_same_trees(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 4, (600, 3)).astype(float)
+    y = ((x[:, 0] + x[:, 1] + rng.integers(0, 2, 600)) % 3).astype(int)
+    df = spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(x, y)], "features array<double>, label int").repartition(3)
+    rows, real = [], B._sums
+    monkeypatch.setattr(B, "_sums", lambda data, *a: (rows.append(data.count()), real(data, *a))[1])
+    trees = []
+    for share in (0.5, -1.0):
+        monkeypatch.setattr(B, "ALIKE", share)
+        trees.append(B.fit_softmax(df, 3, rounds=2, depth=2).given("trees"))
+    assert trees[0] == trees[1] and min(rows) <= 3 * 64 and max(rows) == 600

@@ -5,7 +5,9 @@ level, one pass over the binned rows adds up gradients and second derivatives
 per class, node, feature and bin; Spark sums them over the tasks, and the driver
 picks the splits from these sums, whose number depends on the settings and never
 on the rows.  Gradients are rounded to 2^-20 and summed as whole numbers, so the
-trees do not depend on how rows are dealt to tasks.
+trees do not depend on how rows are dealt to tasks.  Where the sample shows that
+many rows are alike in all bins, rows of one label and the same bins are kept as
+one row and their number; whole sums are the same.
 
 Bin edges are quantiles of a bounded sample (``SAMPLE`` rows with the smallest
 hashes); every row counts in every sum.  A missing number (NaN) has a bin of its
@@ -29,6 +31,7 @@ from wellspark.operators.requests import _param, _Stage
 SAMPLE = 16_384  # rows that bin edges are taken from
 BINS = 64  # at most 254, as a bin is one byte and 0 stands for a missing number
 CELLS = 2_000_000  # sums read back at a time; wider levels are taken in parts of their nodes
+ALIKE = 0.5  # share of different rows in the sample up to which rows alike in all bins are counted together
 KEPT = 10  # rounds after which the rows' margins are stored anew
 WHOLE = float(1 << 20)  # gradients are counted in units of its inverse
 
@@ -114,12 +117,12 @@ def _sums(data: DataFrame, rounds, trees, level: int, part: np.ndarray, weights:
         for b in batches:
             if len(b) == 0:
                 continue
-            x, y = _matrix(b["bins"], np.uint8, width), b["y"].to_numpy()
+            x, y, n = _matrix(b["bins"], np.uint8, width), b["y"].to_numpy(), b["n"].to_numpy()
             p = softmax(add_margins(_matrix(b["margin"], np.float64, classes), x, rounds, depth))
             for c in range(classes):
                 w = weights[y]
-                g = np.rint(w * (p[:, c] - (y == c)) * WHOLE)
-                h = np.rint(w * 2 * p[:, c] * (1 - p[:, c]) * WHOLE)
+                g = np.rint(w * (p[:, c] - (y == c)) * WHOLE) * n
+                h = np.rint(w * 2 * p[:, c] * (1 - p[:, c]) * WHOLE) * n
                 node = leaves(x, trees[c], level) - ((1 << level) - 1)
                 node = np.where(node >= 0, place[(c << level) + np.maximum(node, 0)], -1)
                 own = np.flatnonzero(node >= 0)
@@ -225,8 +228,14 @@ def fit_softmax(train: DataFrame, classes: int, features: str = "features", labe
                 yield b.assign(margin=[r.tobytes() for r in m])
         return run
 
-    schema = "y long, bins binary, margin binary"
-    data = rows.mapInPandas(binned, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    schema = "y long, bins binary, margin binary, n long"
+    data = rows.mapInPandas(binned, "y long, bins binary, margin binary")
+    seen = to_bins(sample, edges)
+    if len(np.unique(seen, axis=0)) <= ALIKE * len(seen):  # rows alike in all bins are one row that counts n times
+        data = data.groupBy("y", "bins", "margin").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        data = data.withColumn("n", F.lit(1).cast("long"))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     done, kept = [], 0
     try:
         for _ in range(rounds):
