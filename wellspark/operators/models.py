@@ -118,6 +118,16 @@ def total_sum_of_squares(df: DataFrame, features_array: str) -> float:
     return float(sum(row[f"q{i}"] - row[f"s{i}"] ** 2 / n for i in range(dim)))
 
 
+WIDE_ROWS = 250_000  # rows of features to a partition: 100 of them take 0.2 GB
+
+
+def dealt_for_features(df: DataFrame, rows: int = WIDE_ROWS) -> DataFrame:
+    """Narrow rows dealt to so many partitions that each holds about ``rows``
+    when it has got its features; as they are, if there are enough."""
+    n = -(-df.count() // rows)
+    return df.repartition(n) if n > df.rdd.getNumPartitions() else df
+
+
 def rff_features(df: DataFrame, cols: list[str], n_features: int = 100, gamma: float = 0.1,
                  seed: int = 42, out: str = "features") -> DataFrame:
     """Random Fourier features z(x) = sqrt(2/D) cos(W x + b), W ~ N(0, 2 gamma),

@@ -166,7 +166,7 @@ def q_kmeans_elbow(spark, sf):
 
 @register("fit_kernel_regression", S)
 def q_fit_kernel_regression(spark, sf):
-    f = reg_frame(spark, sf).drop("features")
+    f = M.dealt_for_features(reg_frame(spark, sf).drop("features"))
     f = M.rff_features(f, [f"x_{c}" for c in _REG_COLS], n_features=100, gamma=0.01)
     train, test = _split(f)
     model = M.fit_kernel_regression(train)
