@@ -43,3 +43,10 @@ def test_rows_are_dealt_before_they_get_features(spark):
     dealt = M.dealt_for_features(df, rows=100)
     assert dealt.rdd.getNumPartitions() == 10 and sorted(r.id for r in dealt.collect()) == list(range(1000))
     assert M.dealt_for_features(df, rows=1000).rdd.getNumPartitions() == 1
+
+
+def test_ngrams_of_all_lengths_are_counted_in_one_reading(spark, capsys):
+    out = entry.queries()["top_ngrams"](spark, SF_SMALL)
+    out.explain("formatted")
+    plan = capsys.readouterr().out.split("(1)")[0]
+    assert plan.count("Scan parquet") == 1 and plan.count("WindowGroupLimit") == 2

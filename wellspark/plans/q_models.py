@@ -24,6 +24,7 @@ from wellspark.operators.split import stratified_folds
 from wellspark.plans import fixtures as FX
 from wellspark.plans.fixtures import split_col
 from wellspark.plans.registry import register
+from wellspark.session import text_batches
 from wellspark.sources.tables import table
 
 S = "models"
@@ -327,6 +328,7 @@ def q_score_cluster(spark, sf):
 
 
 @register("score_text", S)
+@text_batches
 def q_score_text(spark, sf):
     from pyspark.ml.feature import CountVectorizerModel
     from wellspark.functions.text import clean_tokens, ngrams, word_tokens

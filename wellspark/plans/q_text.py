@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wellspark.functions import text as X
 from wellspark.operators import textfeat as TF
 from wellspark.plans.registry import register
-from wellspark.session import cut_lineage
+from wellspark.session import cut_lineage, text_batches
 from wellspark.sources.tables import table
 
 S = "text"
@@ -168,6 +168,7 @@ def q_prompt_format(spark, sf):
 
 
 @register("udf_batch", S, f"SELECT doc_id, {_PROMPT_SQL} AS prompt FROM documents")
+@text_batches
 def q_udf_batch(spark, sf):
     """The same prompt built by a batched pandas map (Arrow batches)."""
     user = _PROMPT_USER.format(cats=_CATS)
@@ -183,6 +184,7 @@ def q_udf_batch(spark, sf):
 
 
 @register("udf_scalar", S)
+@text_batches
 def q_udf_scalar(spark, sf):
     """Row function through a vectorized pandas UDF (Python regex), checked
     in tests against the native expression chain."""
@@ -223,6 +225,7 @@ c AS (SELECT tok, unnest({_rewrites_sql('tok')}) AS cand FROM v),
 b AS (SELECT c.tok, arg_min(c.cand, (length(c.cand), c.cand)) AS lemma FROM c JOIN v ON v.tok = c.cand GROUP BY c.tok),
 l AS (SELECT t.doc_id, string_agg(b.lemma, ' ' ORDER BY t.pos) AS text_lemmas FROM t JOIN b USING (tok) GROUP BY t.doc_id)
 SELECT d.doc_id, coalesce(l.text_lemmas, '') AS text_lemmas FROM d LEFT JOIN l USING (doc_id)""")
+@text_batches
 def q_txt_lemmas(spark, sf):
     d = _docs(spark, sf).select("doc_id", X.clean_tokens(F.col("text")).alias("tokens"))
     return TF.lemmatize(d, "tokens").select(
