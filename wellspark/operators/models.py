@@ -23,6 +23,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wellspark.operators.alike import fit_least_squares
 from wellspark.operators.boosting import fit_softmax
 from wellspark.operators.profile import join_class_weight
 
@@ -47,8 +48,11 @@ def fit_logreg(train: DataFrame, features: str = "features", label: str = "label
 
 def fit_gbt_regressor(train: DataFrame, features="features", label="label", max_iter=20,
                       step=0.1, depth=5, seed=42):
-    return GBTRegressor(featuresCol=features, labelCol=label, maxIter=max_iter, stepSize=step,
-                        maxDepth=depth, seed=seed).fit(train)
+    """Squared loss.  Where few rows differ in their features, those alike are
+    one row of their mean label and their number (``alike``)."""
+    gbt = GBTRegressor(featuresCol=features, labelCol=label, maxIter=max_iter, stepSize=step,
+                       maxDepth=depth, seed=seed)
+    return fit_least_squares(gbt, train)
 
 
 def fit_gbt_classifier(train: DataFrame, n_classes: int, features="features", label="label",
