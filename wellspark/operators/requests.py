@@ -14,13 +14,16 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, PipelineModel, Transformer
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspark.functions.columns import std_text
+from wellspark.operators.alike import fit_classes, fit_least_squares
 from wellspark.operators.quantiles import quantiles
 
 REASON = "reject_reason"
@@ -292,14 +295,23 @@ def fit_requests(train: DataFrame, numbers: dict, choices: dict, class_col: str
     try:
         if class_col:
             labels = categories(ready, class_col)
-            stages += [classifier.fit(Label(labels=labels, col=class_col).transform(ready)), NameClasses(labels=labels)]
+            classes = Label(labels=labels, col=class_col).transform(ready)
+            fit = fit_classes if isinstance(classifier, LogisticRegression) and not classifier.isSet("weightCol") else _plain
+            stages += [fit(classifier, classes), NameClasses(labels=labels)]
         if value_col:
-            stages.append(regressor.copy({regressor.labelCol: value_col, regressor.predictionCol: "value"}).fit(ready))
+            own = regressor.copy({regressor.labelCol: value_col, regressor.predictionCol: "value"})
+            fit = fit_least_squares if isinstance(own, GBTRegressor) and own.getLossType() == "squared" \
+                and not own.isSet("weightCol") else _plain
+            stages.append(fit(own, ready))
     finally:
         ready.unpersist()
     return PipelineModel(stages)
 
 
+def _plain(estimator, train: DataFrame):
+    return estimator.fit(train)
+
+
 def score_requests(model: PipelineModel, raw: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(scored, rejected): valid rows with what the model gives, and the others
     with their reasons.  The reject table does not run the model."""
