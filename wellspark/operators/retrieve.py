@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wellspark.session import cut_lineage
+
 # The instruction text of a classification prompt and the
 # role markers of the plain chat layout.
 PROMPT_INSTRUCTION = "Classify the following text into one of these categories ({cats}):"
@@ -145,42 +147,92 @@ def postings(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
 
 def hashed_vectors(post: DataFrame, id_col: str, dims: int = 64) -> DataFrame:
     """L2-normalised term-count vectors over ``dims`` md5 buckets (rows
-    without tokens have no postings and get no vector).  One aggregate per
-    row id collects (bucket, count) pairs; the vector is a numpy
-    ``bincount`` per Arrow batch."""
+    without tokens have no postings and get no vector) and ``dl``, the number
+    of tokens.  One aggregate per row id collects (bucket, count) pairs; the
+    vector is a numpy ``bincount`` per Arrow batch."""
     from wellspark.functions.columns import md5_bucket
 
     @F.pandas_udf("array<double>")
     def to_vec(bs: pd.Series, cs: pd.Series) -> pd.Series:
-        out = []
-        for b, c in zip(bs, cs):
-            v = np.bincount(np.asarray(b, dtype=np.int64), weights=np.asarray(c, dtype=np.float64),
-                            minlength=dims)
-            out.append(v / np.sqrt((v * v).sum()))
-        return pd.Series(out)
+        return pd.Series([_unit(b, c, dims) for b, c in zip(bs, cs)])
 
     per = (post.withColumn("_b", md5_bucket(F.col("term"), dims))
-           .groupBy(id_col).agg(F.collect_list("_b").alias("bs"), F.collect_list("tf").alias("cs")))
-    return per.select(id_col, to_vec("bs", "cs").alias("vec"))
+           .groupBy(id_col).agg(F.collect_list("_b").alias("bs"), F.collect_list("tf").alias("cs"), F.sum("tf").alias("dl")))
+    return per.select(id_col, to_vec("bs", "cs").alias("vec"), "dl")
+
+
+def _unit(buckets, counts, dims: int) -> np.ndarray:
+    v = np.bincount(np.asarray(buckets, dtype=np.int64),
+                    weights=None if counts is None else np.asarray(counts, dtype=np.float64), minlength=dims).astype(float)
+    return v / np.sqrt((v * v).sum())
+
+
+FEW = 1_000_000  # ids or terms of a few bytes that go to every task; more are joined by a shuffle
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
+
+def parted_by_id(df: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(rows whose id no other row has, the other rows and those without an id;
+    null if there are none).  Only ids are shuffled."""
+    counts = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("c"))
+    again = cut_lineage(counts.where(F.col(id_col).isNull() | (F.col("c") > 1)).select(id_col))
+    if again.isEmpty():
+        return df, None
+    known = _listed(again.where(F.col(id_col).isNotNull()))
+    several = df.join(known, id_col, "left_semi").unionByName(df.where(F.col(id_col).isNull()))
+    return df.where(F.col(id_col).isNotNull()).join(known, id_col, "left_anti"), several
+
+
+def rows_of(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """Rows with one of the ids; few ids go to the rows."""
+    return df.join(_listed(ids.select(id_col).distinct()), id_col, "left_semi")
+
+
+def text_vectors(single: DataFrame, several: DataFrame | None, id_col: str, tokens: Column, dims: int = 64) -> DataFrame:
+    """``hashed_vectors`` of texts (parts of ``parted_by_id``).  A row of an id
+    of its own makes its vector by itself, so its terms are not shuffled."""
+    from wellspark.functions.columns import md5_bucket
+
+    @F.pandas_udf("array<double>")
+    def to_vec(bs: pd.Series) -> pd.Series:
+        return pd.Series([_unit(b, None, dims) if len(b) else None for b in bs], dtype=object)
+
+    buckets = F.transform(tokens, lambda t: md5_bucket(t, dims))
+    out = single.select(id_col, buckets.alias("_b")).select(id_col, to_vec("_b").alias("vec"), F.size("_b").cast("long").alias("dl")) \
+        .where("vec IS NOT NULL")
+    return out if several is None else out.unionByName(hashed_vectors(postings(several, id_col, tokens), id_col, dims))
+
+
+def document_frequency(single: DataFrame, several: DataFrame | None, id_col: str, tokens: Column, terms: DataFrame) -> DataFrame:
+    """(term, df): ids that have each of ``terms`` (a column ``term``).  Other
+    words go inside the tasks, and those left are counted there first."""
+    wanted = _listed(terms)
+
+    def hits(part: DataFrame) -> DataFrame:
+        return part.select(id_col, F.explode(F.array_distinct(tokens)).alias("term")).join(wanted, "term", "left_semi")
+
+    found = hits(single).select("term")
+    if several is not None:
+        found = found.unionByName(hits(several).distinct().select("term"))
+    return found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 # -------------------------------------------------------------------- BM25
 
-def bm25_rerank(candidates: DataFrame, q_post: DataFrame, c_post: DataFrame, n_chunks: int,
-                top: int = 3, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+def bm25_rerank(candidates: DataFrame, q_post: DataFrame, c_post: DataFrame, dfreq: DataFrame, avgdl: float | None,
+                n_chunks: int, top: int = 3, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """Lexical score of (question, chunk) candidate pairs, best ``top`` per
-    question.  Corpus statistics (document frequency, average length over
-    all ``n_chunks`` chunks) come from the chunk postings; only candidate
-    pairs are scored, so the work is bounded by candidates x terms, not by
-    questions x chunks."""
+    question.  ``c_post`` are the postings of the candidate chunks, ``dfreq``
+    the document frequency of the question terms and ``avgdl`` the average
+    length, both over all ``n_chunks`` chunks; only candidate pairs are
+    scored, so the work is bounded by candidates x terms, not by questions x
+    chunks."""
     qt = q_post.select("qid", "term")
-    avgdl = c_post.agg(F.sum("tf")).scalar() / F.lit(n_chunks)
-    # statistics only where they are used: document frequency of the
-    # question terms, lengths of the candidate chunks (semi-joins first)
-    dfreq = c_post.join(qt.select("term").distinct(), "term", "left_semi") \
-        .groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    lens = c_post.join(candidates.select("chunk_id").distinct(), "chunk_id", "left_semi") \
-        .groupBy("chunk_id").agg(F.sum("tf").alias("dl"))
+    avgdl = F.lit(avgdl).cast("double")
+    lens = c_post.groupBy("chunk_id").agg(F.sum("tf").alias("dl"))
     pairs = candidates.select("qid", "chunk_id").join(qt, "qid").join(c_post, ["chunk_id", "term"]) \
         .join(dfreq, "term").join(lens, "chunk_id")
     idf = F.log(1 + (F.lit(n_chunks) - F.col("df") + 0.5) / (F.col("df") + 0.5))

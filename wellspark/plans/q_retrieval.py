@@ -10,6 +10,7 @@ from wellspark.functions.text import word_tokens
 from wellspark.operators import neighbors as NB
 from wellspark.operators import retrieve as RT
 from wellspark.plans.registry import register
+from wellspark.session import cut_lineage
 from wellspark.sources.tables import table
 
 S = "retrieval"
@@ -73,19 +74,20 @@ rk AS (SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY bm25 DESC,
 
 
 def _ranked(spark, sf):
-    from pyspark import StorageLevel
     ch = _chunks(spark, sf)
     q = table(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    # chunk postings feed the vectors and BM25: built once and persisted
-    # (a lost block is recomputed from its lineage)
-    c_post = RT.postings(ch, "chunk_id", word_tokens(F.col("chunk"))).persist(StorageLevel.MEMORY_AND_DISK)
     q_post = RT.postings(q, "qid", word_tokens(F.col("text")))
-    cv = RT.hashed_vectors(c_post, "chunk_id", DIMS)
     qv = RT.hashed_vectors(q_post, "qid", DIMS)
-    top10 = NB.knn(qv, cv, 10, "qid", "chunk_id", "vec")
-    cand = top10.select("qid", F.col("nid").alias("chunk_id"))
-    r = RT.bm25_rerank(cand, q_post, c_post, ch.count(), top=3)
-    return r, ch
+    # terms of a chunk stay inside its row; written once are its vector and length
+    toks = word_tokens(F.col("chunk"))
+    single, several = RT.parted_by_id(ch, "chunk_id")
+    cv = cut_lineage(RT.text_vectors(single, several, "chunk_id", toks, DIMS))
+    cand = cut_lineage(NB.knn(qv, cv, 10, "qid", "chunk_id", "vec").select("qid", F.col("nid").alias("chunk_id")))
+    n, total = ch.count(), cv.agg(F.sum("dl")).first()[0]
+    near = RT.rows_of(ch, cand, "chunk_id")
+    dfreq = RT.document_frequency(single, several, "chunk_id", toks, cut_lineage(q_post.select("term").distinct()))
+    r = RT.bm25_rerank(cand, q_post, RT.postings(near, "chunk_id", toks), dfreq, total / n if total else None, n, top=3)
+    return r, near
 
 
 @register("rerank", S, _RERANK + "SELECT qid, rank, chunk_id, bm25 FROM rk WHERE rank <= 3")
