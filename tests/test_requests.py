@@ -99,3 +99,21 @@ def test_values_do_not_move_to_their_ranges(spark):
         assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "hashpartitioning(column" not in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_raw_rows_are_coerced_once_for_all_that_is_learned(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(x):
+        read.add(1)
+        return x
+
+    data = [(i, str(i % 7), str(i % 5) if i % 3 else None, "ab"[i % 2]) for i in range(40)]
+    df = spark.createDataFrame(data, "id long, age string, hours string, job string").repartition(2)
+    df = df.withColumn("age", counted("age"))
+    prep = RQ.fit_preparation(df, {"age": [None, None, False], "hours": [None, None, False]}, {"job": [None, False]})
+    # the rule, the cast and the filter may each evaluate it, but in one reading
+    assert read.value <= 4 * len(data)
+    values = next(s for s in prep.stages if isinstance(s, RQ.ImputeModel)).given("values")
+    assert values["age"] == 3.0 and values["job"] == "A"

@@ -12,7 +12,7 @@ parts these rows from the others, which alone reach the model.
 
 from __future__ import annotations
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -274,11 +274,16 @@ def fit_preparation(train: DataFrame, numbers: dict, choices: dict, constants: d
     constants = constants or {}
     nums, texts = list(numbers), list(choices)
     check, coerce = Check(numbers=numbers, choices=choices), Coerce(numbers=nums, texts=texts)
-    good = coerce.transform(check.transform(train).where(F.col(REASON).isNull()))
-    impute = Impute(medians=[c for c in nums if c not in constants], modes=[c for c in texts if c not in constants],
-                    constants=constants).fit(good)
-    good = impute.transform(good)
-    encode, scale = Encode(cols=texts).fit(good), Scale(cols=nums).fit(good)
+    # checked and coerced once: every median, mode, value list and scale reads the rows
+    kept = coerce.transform(check.transform(train).where(F.col(REASON).isNull())) \
+        .select(*dict.fromkeys([*nums, *texts, *constants])).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        impute = Impute(medians=[c for c in nums if c not in constants], modes=[c for c in texts if c not in constants],
+                        constants=constants).fit(kept)
+        good = impute.transform(kept)
+        encode, scale = Encode(cols=texts).fit(good), Scale(cols=nums).fit(good)
+    finally:
+        kept.unpersist()
     cols = nums + [f"{c}_{v}" for c, vs in encode.given("values").items() for v in vs[1:]]
     return PipelineModel([check, coerce, impute, encode, scale, Align(cols=cols)])
 
