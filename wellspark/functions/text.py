@@ -35,6 +35,7 @@ NOUN_SUFFIX_RULES = [("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes"
 
 URL_PATTERN = r"http\S+|www\S+"
 DIGITS_PATTERN = r"\p{Nd}+"
+PUNCT_CLASS = "".join("\\" + x for x in PUNCTUATION)
 NON_LETTER_PATTERN = r"[^a-zA-Z\s]"
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 # ------------------------------------------------------------------------------
@@ -53,7 +54,13 @@ def txt_strip_digits(c: Column) -> Column:
 
 
 def txt_strip_punct(c: Column) -> Column:
-    return F.translate(c, PUNCTUATION, "")
+    # ``translate`` looks every character up in a map of strings
+    return F.regexp_replace(c, f"[{PUNCT_CLASS}]+", "")
+
+
+def txt_strip_digits_punct(c: Column) -> Column:
+    """Both at once: each only takes single characters out."""
+    return F.regexp_replace(c, rf"[\p{{Nd}}{PUNCT_CLASS}]+", "")
 
 
 def txt_letters_only(c: Column) -> Column:
@@ -85,7 +92,7 @@ def word_tokens(c: Column) -> Column:
 def clean_tokens(c: Column, stop_words: list[str] = STOP_WORDS_EN) -> Column:
     """lower -> strip URLs -> strip digits -> strip punctuation -> split ->
     drop stop words (the reference order; lemmas are a separate join)."""
-    t = txt_strip_punct(txt_strip_digits(txt_strip_urls(txt_lower(c))))
+    t = txt_strip_digits_punct(txt_strip_urls(txt_lower(c)))
     return txt_stopwords(txt_tokens(t), stop_words)
 
 
