@@ -107,6 +107,29 @@ def test_minhash_near_copies_of_one_text(spark):
     assert got == brute.near_duplicates(texts, 3, 85)
 
 
+def test_minhash_unlinked_variants_are_hardly_tried(spark, monkeypatch):
+    rng = random.Random(2)
+    base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+    texts = [(0, " ".join(base))]
+    for i in range(1, 260):
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 5, 6, 7])):
+            del w[rng.randrange(len(w))]
+        texts.append((i, " ".join(w)))
+    tried = []
+    real = minhash.verify_pairs
+
+    def verify_pairs(pairs, *rest):
+        tried.append(pairs.count())
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "verify_pairs", verify_pairs)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(odd_docs(spark, texts)).collect()}
+    want = brute.near_duplicates(texts, 3, 85)
+    assert got == want
+    assert len({c for _, c in want.values()}) > 50 and sum(tried) < 1000, tried
+
+
 def test_minhash_edge_cases(spark):
     texts = [(1, None), (2, ""), (3, " \t"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "ünï ÇÖDE x y"), (7, "ünï ÇÖDE x y"),
              (8, "a b c d"), (9, "q r s t u"), (9, "a b c d"), (10, "q r s t u"), (None, "a b c d")]
