@@ -116,3 +116,14 @@ def test_alike_rows_counted_together_give_the_same_trees(spark, monkeypatch):
         monkeypatch.setattr(B, "ALIKE", share)
         trees.append(B.fit_softmax(df, 3, rounds=2, depth=2).given("trees"))
     assert trees[0] == trees[1] and min(rows) <= 3 * 64 and max(rows) == 600
+
+
+def test_small_tables_take_no_job_a_level(spark, monkeypatch):
+    x, y = _rings(300, 4)
+    df = _frame(spark, x, y, 3)
+    jobs, kind, real = [], type(df), type(df).mapInPandas
+    monkeypatch.setattr(kind, "mapInPandas", lambda self, *a, **k: (jobs.append(a[1]), real(self, *a, **k))[1])
+    held = B.fit_softmax(df, 3, rounds=12, depth=3).given("trees")
+    assert len(jobs) == 1  # the bins
+    monkeypatch.setattr(B, "HELD", 0)
+    assert B.fit_softmax(df, 3, rounds=12, depth=3).given("trees") == held and len(jobs) > 30

@@ -7,7 +7,9 @@ picks the splits from these sums, whose number depends on the settings and never
 on the rows.  Gradients are rounded to 2^-20 and summed as whole numbers, so the
 trees do not depend on how rows are dealt to tasks.  Where the sample shows that
 many rows are alike in all bins, rows of one label and the same bins are kept as
-one row and their number; whole sums are the same.
+one row and their number; whole sums are the same.  If what is left is small
+(``HELD`` bytes), it is added up on the driver, without a job a level: by the same
+function, to the same sums.
 
 Bin edges are quantiles of a bounded sample (``SAMPLE`` rows with the smallest
 hashes); every row counts in every sum.  A missing number (NaN) has a bin of its
@@ -32,6 +34,7 @@ SAMPLE = 16_384  # rows that bin edges are taken from
 BINS = 64  # at most 254, as a bin is one byte and 0 stands for a missing number
 CELLS = 2_000_000  # sums read back at a time; wider levels are taken in parts of their nodes
 ALIKE = 0.5  # share of different rows in the sample up to which rows alike in all bins are counted together
+HELD = 8_000_000  # bytes of bins and margins up to which rows are added up on the driver
 KEPT = 10  # rounds after which the rows' margins are stored anew
 WHOLE = float(1 << 20)  # gradients are counted in units of its inverse
 
@@ -106,33 +109,52 @@ def _matrix(col: pd.Series, kind, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(col), kind).reshape(-1, width)
 
 
-def _sums(data: DataFrame, rounds, trees, level: int, part: np.ndarray, weights: np.ndarray, depth: int, width: int, bins: int):
+class Held:
+    """Binned rows small enough for one place, with margins of all rounds so far."""
+
+    def __init__(self, rows: pd.DataFrame, width: int, classes: int):
+        self.x, self.y, self.n = _matrix(rows["bins"], np.uint8, width), rows["y"].to_numpy(), rows["n"].to_numpy()
+        self.margin = np.zeros((len(rows), classes))
+
+    def count(self) -> int:
+        return len(self.y)
+
+    def advance(self, trees: list[dict], depth: int) -> None:
+        self.margin = add_margins(self.margin, self.x, [trees], depth)
+
+
+def _sums(data: DataFrame | Held, rounds, trees, level: int, part: np.ndarray, weights: np.ndarray, depth: int, width: int, bins: int):
     """Sums of the level's nodes ``part`` (class and node numbers as c * 2^level + i)."""
     classes, cells = len(weights), width * (bins + 1)
     place = np.full(classes << level, -1)
     place[part] = np.arange(len(part))
 
+    def add(total, x, y, n, margin):
+        p = softmax(add_margins(margin, x, rounds, depth))
+        for c in range(classes):
+            w = weights[y]
+            g = np.rint(w * (p[:, c] - (y == c)) * WHOLE) * n
+            h = np.rint(w * 2 * p[:, c] * (1 - p[:, c]) * WHOLE) * n
+            node = leaves(x, trees[c], level) - ((1 << level) - 1)
+            node = np.where(node >= 0, place[(c << level) + np.maximum(node, 0)], -1)
+            own = np.flatnonzero(node >= 0)
+            for f in range(width):
+                cell = node[own] * cells + f * (bins + 1) + x[own, f]
+                total[0] += np.bincount(cell, g[own], total.shape[1]).astype(np.int64)
+                total[1] += np.bincount(cell, h[own], total.shape[1]).astype(np.int64)
+
     def run(batches):
         total = np.zeros((2, len(part) * cells), np.int64)
         for b in batches:
-            if len(b) == 0:
-                continue
-            x, y, n = _matrix(b["bins"], np.uint8, width), b["y"].to_numpy(), b["n"].to_numpy()
-            p = softmax(add_margins(_matrix(b["margin"], np.float64, classes), x, rounds, depth))
-            for c in range(classes):
-                w = weights[y]
-                g = np.rint(w * (p[:, c] - (y == c)) * WHOLE) * n
-                h = np.rint(w * 2 * p[:, c] * (1 - p[:, c]) * WHOLE) * n
-                node = leaves(x, trees[c], level) - ((1 << level) - 1)
-                node = np.where(node >= 0, place[(c << level) + np.maximum(node, 0)], -1)
-                own = np.flatnonzero(node >= 0)
-                for f in range(width):
-                    cell = node[own] * cells + f * (bins + 1) + x[own, f]
-                    total[0] += np.bincount(cell, g[own], total.shape[1]).astype(np.int64)
-                    total[1] += np.bincount(cell, h[own], total.shape[1]).astype(np.int64)
+            if len(b):
+                add(total, _matrix(b["bins"], np.uint8, width), b["y"].to_numpy(), b["n"].to_numpy(), _matrix(b["margin"], np.float64, classes))
         some = np.flatnonzero(total.any(0))
         yield pd.DataFrame({"cell": some, "g": total[0, some], "h": total[1, some]})
 
+    if isinstance(data, Held):
+        whole = np.zeros((2, len(part) * cells), np.int64)
+        add(whole, data.x, data.y, data.n, data.margin)
+        return (whole / WHOLE).reshape(2, len(part), width, bins + 1)
     got = data.mapInPandas(run, "cell long, g long, h long").groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
     out = np.zeros((2, len(part) * cells))
     at = got["cell"].to_numpy(np.int64)
@@ -238,7 +260,12 @@ def fit_softmax(train: DataFrame, classes: int, features: str = "features", labe
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     done, kept = [], 0
     try:
-        for _ in range(rounds):
+        if data.count() * (width + 8 * classes) <= HELD:
+            held = Held(data.drop("margin").toPandas(), width, classes)
+            for _ in range(rounds):
+                done.append(_grow(held, [], weights, depth, width, bins, step, lam, least))
+                held.advance(done[-1], depth)
+        for _ in range(rounds - len(done)):
             if len(done) - kept == KEPT:
                 old, data = data, data.mapInPandas(advanced(done[kept:]), schema).persist(StorageLevel.MEMORY_AND_DISK)
                 data.count()
