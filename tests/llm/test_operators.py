@@ -241,6 +241,20 @@ def test_repeats_equal_brute_force(spark, rows, monkeypatch, hot):
     assert got == dict(zip([i for i, _ in docs], brute.remove_repeats([t for _, t in docs], 200)))
 
 
+def test_filters_reach_the_driver_in_blocks(spark, monkeypatch):
+    a = spark.range(60_000).select(F.xxhash64("id").alias("a"))
+    values = a.toPandas()["a"].to_numpy()
+    monkeypatch.setattr(repeats, "PARTLY", 1)
+    monkeypatch.setattr(type(a), "toPandas", lambda self: pytest.fail("a row a word"))
+    for n in (60_000, 10):  # several blocks, and less than one
+        found = repeats.bloom(a, n)
+        size, want = len(found) * 64, np.zeros(len(found), np.uint64)
+        assert size == 1 << max(16, (16 * n - 1).bit_length())
+        for at in repeats._bits(values, size):
+            np.bitwise_or.at(want, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        assert (found == want).all() and repeats.has(found, values.view(np.uint64)).all()
+
+
 def test_repeats_rows_without_ids_and_empty(spark):
     text = "".join(random.Random(3).choice("abcdefgh ") for _ in range(500))
     got = repeats.remove_repeats(odd_docs(spark, [(None, text), (1, text), (1, text + "!")]), texts=True).collect()

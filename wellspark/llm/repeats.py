@@ -35,6 +35,8 @@ from wellspark.llm.common import checkpoint, slices, spread
 
 HOT = 8192  # different surroundings of an anchor that one task may hold
 FILTER_BITS = 1 << 28  # at most, in each of three filters: 32 MB
+BLOCK = 1 << 13  # words of a filter that travel as one row, a power of two
+PARTLY = 64  # blocks, about, that the driver gets at a time
 SLICE = 2_000_000
 
 
@@ -131,7 +133,8 @@ def _bits(a: np.ndarray, size: int) -> list[np.ndarray]:
 
 def bloom(rows: DataFrame, n: int) -> np.ndarray:
     """Filter of column ``a`` as packed bits: 16 bits a value up to the bound,
-    or'ed together by word before anything reaches the driver."""
+    or'ed together by word and laid out in blocks before anything reaches the
+    driver, which holds the filter and a partition of blocks."""
     size = 1 << 16
     while size < 16 * n and size < FILTER_BITS:
         size <<= 1
@@ -144,10 +147,23 @@ def bloom(rows: DataFrame, n: int) -> np.ndarray:
                 yield pd.DataFrame({"w": word, "v": _signed(np.bitwise_or.reduceat(
                     np.uint64(1) << (at & 63).astype(np.uint64), first))})
 
-    out = np.zeros(size // 64, np.uint64)
-    got = rows.select("a").mapInPandas(words, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v")).toPandas()
-    out[got["w"].to_numpy(np.int64)] = got["v"].to_numpy(np.int64).view(np.uint64)
-    return out
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made: dict[int, np.ndarray] = {}
+        for b in batches:
+            w, v = b["w"].to_numpy(np.int64), b["v"].to_numpy(np.int64)
+            for i in np.unique(w // BLOCK):
+                own = w // BLOCK == i
+                made.setdefault(int(i), np.zeros(BLOCK, np.int64))[w[own] % BLOCK] = v[own]
+        for i, block in made.items():
+            yield pd.DataFrame({"i": [i], "v": [block.tobytes()]})
+
+    out = np.zeros(max(size // 64, BLOCK), np.uint64)
+    parts = max(1, size // 64 // BLOCK // PARTLY)
+    whole = rows.select("a").mapInPandas(words, "w long, v long").groupBy("w").agg(F.bit_or("v").alias("v"))
+    dealt = checkpoint(whole.repartition(parts, F.col("w").bitwiseAND(F.lit(-BLOCK).cast("long"))).mapInPandas(blocks, "i long, v binary"))
+    for r in dealt.toLocalIterator():
+        out[r["i"] * BLOCK:(r["i"] + 1) * BLOCK] = np.frombuffer(bytes(r["v"]), np.uint64)
+    return out[:size // 64]
 
 
 def has(filter_words: np.ndarray, a: np.ndarray) -> np.ndarray:
