@@ -168,9 +168,10 @@ def q_kmeans_elbow(spark, sf):
 @register("fit_kernel_regression", S)
 def q_fit_kernel_regression(spark, sf):
     f = M.dealt_for_features(reg_frame(spark, sf).drop("features"))
-    f = M.rff_features(f, [f"x_{c}" for c in _REG_COLS], n_features=100, gamma=0.01)
+    inputs, waves = [f"x_{c}" for c in _REG_COLS], {"n_features": 100, "gamma": 0.01}
+    f = M.rff_features(f, inputs, **waves)
     train, test = _split(f)
-    model = M.fit_kernel_regression(train)
+    model = M.fit_kernel_regression(train, inputs=inputs, **waves)
     return _reg_metrics(model.transform(test))
 
 
